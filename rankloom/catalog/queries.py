@@ -295,16 +295,17 @@ def latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def param_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed value, table name and frame handed to one SQL text."""
-    star = _star(spark, sf_dir)
+    rows = _filled(spark, sf_dir)
+    facts = ops.rankings(rows, stage(ops.date_dim(rows), "dates"))
     store = _warehouse(spark)
-    store.append("country_dim", star.country_dim)
+    store.append("country_dim", ops.country_dim(rows))
     text = """
         SELECT c.country, r.player_id, r.points
         FROM {facts} r JOIN IDENTIFIER(:countries) c ON r.country_id = c.country_id
         WHERE r.points >= :parameter
     """
     args = {"parameter": 400, "countries": store.name("country_dim")}
-    return sinks.run_sql(spark, text, args, facts=star.rankings)
+    return sinks.run_sql(spark, text, args, facts=facts)
 
 
 # --- sinks ------------------------------------------------------------------

@@ -15,19 +15,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.operators.defaults import fill_defaults
-from rankloom.operators.dimensions import country_dim, player_dim
+from rankloom.operators.dimensions import country_dim, date_dim, player_dim
 from rankloom.operators.facts import rankings
-from rankloom.operators.incremental import new_dates, only_new
+from rankloom.operators.incremental import only_new
 from rankloom.sinks.warehouse import Warehouse
-from rankloom.sources.lines import accepted, decode_lines
+from rankloom.sources.lines import accepted, decode_lines, rejected
 from rankloom.staging import stage
 
 
-def load_rows(warehouse: Warehouse, rows: DataFrame, date_patterns: Sequence[str] = ()) -> int:
-    """Load typed feed rows; returns how many dates were new."""
+def load_rows(
+    warehouse: Warehouse, rows: DataFrame, date_patterns: Sequence[str] = (), staged: bool = False
+) -> int:
+    """Load typed feed rows; returns how many dates were new.
+
+    Four tables come from the rows, so they are staged unless `staged` says that
+    reading them again is cheap.
+    """
     known = warehouse.read("date_dim")
-    rows = stage(only_new(fill_defaults(rows, date_patterns), known), "rows")
-    dates = stage(new_dates(rows, known), "dates")
+    rows = only_new(fill_defaults(rows, date_patterns), known)
+    if not staged:
+        rows = stage(rows, "rows")
+    dates = stage(date_dim(rows, known), "dates")
     found = dates.agg(F.count("*").alias("days"), F.min("date_id").alias("first_key")).first()
     if not found.days:
         return 0
@@ -41,5 +49,9 @@ def load_rows(warehouse: Warehouse, rows: DataFrame, date_patterns: Sequence[str
 
 
 def load_lines(warehouse: Warehouse, lines: DataFrame, date_patterns: Sequence[str] = ()) -> int:
-    """Load feed lines; what cannot be decoded is left out (see `sources.rejected`)."""
-    return load_rows(warehouse, accepted(decode_lines(lines)), date_patterns)
+    """Load feed lines. They are parsed once; undecodable ones go to `rejected_lines`."""
+    spoilt = F.col("reject_reason").isNotNull()
+    decoded = decode_lines(lines).withColumn("raw_line", F.when(spoilt, F.col("raw_line")))
+    decoded = stage(decoded, "lines")
+    warehouse.append_unseen("rejected_lines", rejected(decoded))
+    return load_rows(warehouse, accepted(decoded), date_patterns, staged=True)

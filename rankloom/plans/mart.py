@@ -11,16 +11,20 @@ from rankloom.schemas import ANALYTICS
 from rankloom.sinks.warehouse import Warehouse
 
 
-def _located(star: Star) -> DataFrame:
-    return star.rankings.join(star.country_dim, "country_id").join(star.date_dim, "date_id")
+def _first_of_each(dimension: DataFrame, key: str) -> DataFrame:
+    """One row per key, the smallest by the other columns."""
+    others = [F.col(c).asc_nulls_first() for c in dimension.columns if c != key]
+    return best_per_group(dimension, [key], others)
 
 
 def analytics(star: Star) -> DataFrame:
     """One row per player and date: the numerically largest rank.
 
-    Players join last. They take part in no tie but the last one, so the rows
-    can be cut to one per player and date before the only join whose other side
-    grows with the feed, and that join no longer meets a hot player.
+    Of the joined rows the one to keep is decided by the facts alone, as long as
+    facts without a country or date are out first; versions of a dimension row
+    only break the last ties. So the facts go through the shuffle with their own
+    columns, one row per player and date at most, and are widened after it: no
+    join meets a player or country that fills a third of the feed.
     """
     order = [
         F.col("rank").desc_nulls_last(),
@@ -29,18 +33,28 @@ def analytics(star: Star) -> DataFrame:
         F.col("difference").desc_nulls_last(),
         F.col("trend").asc_nulls_first(),
         F.col("country_id").asc_nulls_first(),
-        F.col("country").asc_nulls_first(),
-        F.col("date").asc_nulls_first(),
     ]
-    best = best_per_group(_located(star), ["player_id", "date_id"], order)
-    names = [F.col("first_name").asc_nulls_first(), F.col("last_name").asc_nulls_first()]
-    players = best_per_group(star.player_dim, ["player_id"], names)
-    return best.join(players, "player_id").select(*ANALYTICS.names)
+    known = star.rankings.join(star.country_dim, "country_id", "left_semi").join(
+        star.date_dim, "date_id", "left_semi"
+    )
+    best = best_per_group(known, ["player_id", "date_id"], order)
+    return (
+        best.join(_first_of_each(star.date_dim, "date_id"), "date_id")
+        .join(_first_of_each(star.country_dim, "country_id"), "country_id")
+        .join(_first_of_each(star.player_dim, "player_id"), "player_id")
+        .select(*ANALYTICS.names)
+    )
 
 
 def analytics_distinct(star: Star) -> DataFrame:
     """Every distinct joined row."""
-    return _located(star).join(star.player_dim, "player_id").select(*ANALYTICS.names).distinct()
+    return (
+        star.rankings.join(star.country_dim, "country_id")
+        .join(star.date_dim, "date_id")
+        .join(star.player_dim, "player_id")
+        .select(*ANALYTICS.names)
+        .distinct()
+    )
 
 
 def refresh_analytics(warehouse: Warehouse, distinct: bool = False) -> None:

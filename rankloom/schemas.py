@@ -95,6 +95,7 @@ ANALYTICS = _struct(
     month=_int,
     year=_int,
 )
+REJECTED_LINES = _struct(raw_line=_text, reject_reason=_text)
 STATUS = _struct(status=_text, timestamp=_double)
 
 # Tables a warehouse holds. The facts are stored by load, in a partition column
@@ -107,6 +108,7 @@ TABLES = {
     "analytics": (ANALYTICS, None),
     "status_log": (STATUS, None),
     "raw_landing": (RAW_LANDING, None),
+    "rejected_lines": (REJECTED_LINES, None),
 }
 
 # Defaults for the only three columns that are filled.
