@@ -48,3 +48,7 @@ KINDS = {
 def kinds_of_sql(connection: duckdb.DuckDBPyConnection, sql: str) -> dict[str, str]:
     described = connection.execute(f"DESCRIBE {sql}").fetchall()
     return {row[0]: KINDS.get(row[1], row[1]) for row in described}
+
+
+def plan_of(df: DataFrame) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
