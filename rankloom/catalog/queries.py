@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from rankloom import operators as ops
 from rankloom import plans, sinks, sources, streaming
-from rankloom.catalog.feed import feed, table
+from rankloom.catalog.feed import feed, spread, table
 from rankloom.functions import coerce_date, csv_line, iso_text
 from rankloom.schemas import FEED, RANKINGS, RAW_LANDING
 from rankloom.session import tune
@@ -68,7 +68,7 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     status = F.when(kind == "purchase", streaming.status.SUCCESS).otherwise(kind)
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events")).select(
         sources.encode_status(status, micros / F.lit(1e6)).alias("value")
     )
 
@@ -112,19 +112,19 @@ def payload_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = [later if c == "lastUpdatedOn" else row[i] for i, c in enumerate(FEED.names)]
     body = F.to_json(F.struct(F.array(F.struct(*row), F.struct(*moved)).alias("rank")))
     text = F.when(F.col("trend").isNull(), "{}").otherwise(body)
-    documents = feed(spark, sf_dir).select(sources.parse_payload(text).alias("document"))
-    return sources.flatten_payload(documents.select("document.*"))
+    texts = feed(spark, sf_dir).select(text.alias("value"))
+    return sources.flatten_payload(sources.parse_payload(texts))
 
 
 @query
 def table_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = _star(spark, sf_dir, distinct_facts=False).rankings
-    return facts.distinct().orderBy(*RANKINGS.names).limit(10)
+    return ops.preview(facts.distinct(), 10, *RANKINGS.names)
 
 
 @query
 def table_head(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.date_dim(_filled(spark, sf_dir)).orderBy("date_id").limit(5)
+    return ops.preview(ops.date_dim(_filled(spark, sf_dir)), 5, "date_id")
 
 
 @query

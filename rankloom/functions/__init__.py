@@ -2,7 +2,7 @@
 
 from rankloom.functions.dates import calendar_fields, coerce_date, coerce_timestamp, iso_text
 from rankloom.functions.names import first_name, last_name
-from rankloom.functions.text import count_fields, csv_line, na_to_null
+from rankloom.functions.text import count_fields, csv_line, na_to_null, parse_once
 
 __all__ = [
     "calendar_fields",
@@ -14,4 +14,5 @@ __all__ = [
     "iso_text",
     "last_name",
     "na_to_null",
+    "parse_once",
 ]

@@ -27,3 +27,12 @@ def count_fields(line: Column) -> Column:
 
 def csv_line(*columns: Column | str) -> Column:
     return F.to_csv(F.struct(*columns), CSV_OPTIONS)
+
+
+def parse_once(parsed: Column) -> Column:
+    """The fields of a parsed struct as columns, by a generator over that one struct.
+
+    A parse in a projection is copied into every filter on its fields, and runs
+    once for each of them. Filters cannot move below a generator.
+    """
+    return F.inline(F.array(parsed))

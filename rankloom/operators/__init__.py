@@ -6,6 +6,7 @@ from rankloom.operators.dimensions import country_dim, date_dim, datetime_dim, p
 from rankloom.operators.facts import rankings
 from rankloom.operators.incremental import new_dates, only_new
 from rankloom.operators.numbering import number_rows
+from rankloom.operators.preview import preview
 from rankloom.operators.profile import column_profile, profile
 from rankloom.operators.records import json_records
 from rankloom.operators.tagged import records_of, tag_records
@@ -22,6 +23,7 @@ __all__ = [
     "number_rows",
     "only_new",
     "player_dim",
+    "preview",
     "profile",
     "rankings",
     "records_of",

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rankloom.functions.text import parse_once
+
 
 def tag_records(frames: dict[str, DataFrame]) -> DataFrame:
     """Bag union of (`type`, `data`), with `data` the record as JSON text."""
@@ -20,8 +22,4 @@ def tag_records(frames: dict[str, DataFrame]) -> DataFrame:
 
 def records_of(tagged: DataFrame, kind: str, schema: T.StructType) -> DataFrame:
     """The records of one kind, as columns again."""
-    return (
-        tagged.where(F.col("type") == kind)
-        .select(F.from_json("data", schema).alias("data"))
-        .select("data.*")
-    )
+    return tagged.where(F.col("type") == kind).select(parse_once(F.from_json("data", schema)))

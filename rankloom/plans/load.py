@@ -9,7 +9,7 @@ broken one wrote. One writer at a time is assumed.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,24 +18,18 @@ from rankloom.operators.defaults import fill_defaults
 from rankloom.operators.dimensions import country_dim, date_dim, player_dim
 from rankloom.operators.facts import rankings
 from rankloom.operators.incremental import only_new
+from rankloom.sinks.files import write_feed_csv
 from rankloom.sinks.warehouse import Warehouse
 from rankloom.sources.lines import accepted, decode_lines, rejected
-from rankloom.staging import stage
+from rankloom.sources.payload import flatten_payload
+from rankloom.staging import scratch
 
 
-def load_rows(
-    warehouse: Warehouse, rows: DataFrame, date_patterns: Sequence[str] = (), staged: bool = False
+def _load(
+    warehouse: Warehouse, rows: DataFrame, stage: Callable[[DataFrame, str], DataFrame]
 ) -> int:
-    """Load typed feed rows; returns how many dates were new.
-
-    Four tables come from the rows, so they are staged unless `staged` says that
-    reading them again is cheap.
-    """
-    known = warehouse.read("date_dim")
-    rows = only_new(fill_defaults(rows, date_patterns), known)
-    if not staged:
-        rows = stage(rows, "rows")
-    dates = stage(date_dim(rows, known), "dates")
+    """Store new filled rows that are cheap to read again: four tables come from them."""
+    dates = stage(date_dim(rows, warehouse.read("date_dim")), "dates")
     found = dates.agg(F.count("*").alias("days"), F.min("date_id").alias("first_key")).first()
     if not found.days:
         return 0
@@ -48,10 +42,26 @@ def load_rows(
     return found.days
 
 
+def _new_rows(warehouse: Warehouse, rows: DataFrame, date_patterns: Sequence[str]) -> DataFrame:
+    return only_new(fill_defaults(rows, date_patterns), warehouse.read("date_dim"))
+
+
+def load_rows(warehouse: Warehouse, rows: DataFrame, date_patterns: Sequence[str] = ()) -> int:
+    """Load typed feed rows; returns how many dates were new."""
+    with scratch(warehouse.spark) as stage:
+        return _load(warehouse, stage(_new_rows(warehouse, rows, date_patterns), "rows"), stage)
+
+
 def load_lines(warehouse: Warehouse, lines: DataFrame, date_patterns: Sequence[str] = ()) -> int:
     """Load feed lines. They are parsed once; undecodable ones go to `rejected_lines`."""
     spoilt = F.col("reject_reason").isNotNull()
     decoded = decode_lines(lines).withColumn("raw_line", F.when(spoilt, F.col("raw_line")))
-    decoded = stage(decoded, "lines")
-    warehouse.append_unseen("rejected_lines", rejected(decoded))
-    return load_rows(warehouse, accepted(decoded), date_patterns, staged=True)
+    with scratch(warehouse.spark) as stage:
+        decoded = stage(decoded, "lines")
+        warehouse.append_unseen("rejected_lines", rejected(decoded))
+        return _load(warehouse, _new_rows(warehouse, accepted(decoded), date_patterns), stage)
+
+
+def land_payload(documents: DataFrame, path: str) -> None:
+    """The records of payload documents as landing CSV."""
+    write_feed_csv(flatten_payload(documents), path)

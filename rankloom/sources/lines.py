@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.functions.text import CSV_OPTIONS, count_fields, na_to_null
+from rankloom.functions.text import CSV_OPTIONS, count_fields, na_to_null, parse_once
 from rankloom.schemas import FEED
 
 HEADER_PREFIX = "id,"
@@ -35,19 +35,18 @@ def decode_lines(lines: DataFrame) -> DataFrame:
     """
     shape = ", ".join(f"`{name}` string" for name in FEED.names) + ", `_misfit` string"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_misfit", **CSV_OPTIONS}
-    line = F.col("value")
     cells = without_headers(lines).select(
-        line.alias("raw_line"), F.from_csv(line, shape, options).alias("cell")
+        F.col("value").alias("raw_line"), parse_once(F.from_csv("value", shape, options))
     )
 
-    words = {f.name: na_to_null(F.col(f"cell.{f.name}")) for f in FEED}
+    words = {name: na_to_null(F.col(name)) for name in FEED.names}
     typed = {f.name: words[f.name].try_cast(f.dataType) for f in FEED}
     mistyped = F.lit(False)
     for name in FEED.names:
         if FEED[name].dataType.typeName() != "string":
             mistyped = mistyped | (words[name].isNotNull() & typed[name].isNull())
 
-    raw, misfit = F.col("raw_line"), F.col("cell._misfit").isNotNull()
+    raw, misfit = F.col("raw_line"), F.col("_misfit").isNotNull()
     quotes = F.length(raw) - F.length(F.replace(raw, F.lit('"'), F.lit("")))
     reason = (
         F.when(raw == "", "blank line")

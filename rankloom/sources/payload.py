@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rankloom.functions.text import parse_once
 from rankloom.schemas import FEED, PAYLOAD
 
 
@@ -13,9 +14,9 @@ def read_payload(spark: SparkSession, path: str, one_per_file: bool = True) -> D
     return spark.read.schema(PAYLOAD).option("multiLine", one_per_file).json(path)
 
 
-def parse_payload(text: Column) -> Column:
+def parse_payload(texts: DataFrame, column: str = "value") -> DataFrame:
     """Documents from a text column."""
-    return F.from_json(text, PAYLOAD)
+    return texts.select(parse_once(F.from_json(column, PAYLOAD)))
 
 
 def flatten_payload(documents: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankloom.functions.text import parse_once
 from rankloom.schemas import STATUS
 
 
@@ -18,4 +19,4 @@ def decode_status(messages: DataFrame, column: str = "value", encoded: bool = Tr
     body = F.col(column)
     if encoded:
         body = F.try_to_binary(body, F.lit("base64")).cast("string")
-    return messages.select(F.from_json(body, STATUS).alias("message")).select("message.*")
+    return messages.select(parse_once(F.from_json(body, STATUS)))

@@ -9,6 +9,8 @@ broadcast is then decided on its measured bytes against
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,19 +30,43 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+def _filesystem(spark: SparkSession, path: str) -> tuple:
+    """Hadoop's handle for `path` and the path as it wants it."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A path of its own for this use, dropped when the driver's JVM ends."""
     path = f"{shared_root(spark)}/{label}-{uuid4().hex}"
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    filesystem = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    filesystem, hadoop_path = _filesystem(spark, path)
     filesystem.mkdirs(hadoop_path)
     filesystem.deleteOnExit(hadoop_path)
     return path
 
 
+def _written(df: DataFrame, folder: str) -> DataFrame:
+    df.write.parquet(f"{folder}/data")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/data")
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write `df` once and continue from the written table."""
-    spark = df.sparkSession
-    path = f"{fresh_folder(spark, label)}/data"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _written(df, fresh_folder(df.sparkSession, label))
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A `stage` whose tables go when the block ends, for jobs that run again and again."""
+    folders: list[str] = []
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        folders.append(fresh_folder(spark, label))
+        return _written(df, folders[-1])
+
+    try:
+        yield keep
+    finally:
+        for folder in folders:
+            filesystem, hadoop_path = _filesystem(spark, folder)
+            filesystem.delete(hadoop_path, True)

@@ -9,7 +9,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from rankloom.plans.mart import refresh_analytics
 from rankloom.sinks.warehouse import Warehouse
 from rankloom.sources.status import decode_status
-from rankloom.staging import stage
+from rankloom.staging import scratch
 
 # Fixed value: the status that lets the mart be rebuilt.
 SUCCESS = "success"
@@ -41,11 +41,12 @@ def refresh_on_success(
 
     def handle(batch: DataFrame, _batch_id: int) -> None:
         store = warehouse.on(batch.sparkSession)
-        batch = stage(batch, "messages")
-        store.append_unseen("status_log", batch)
-        decisive = latest_status(store.read("status_log")) if by_latest else batch
-        if not successes(decisive).isEmpty():
-            refresh_analytics(store)
+        with scratch(batch.sparkSession) as stage:
+            batch = stage(batch, "messages")
+            store.append_unseen("status_log", batch)
+            decisive = latest_status(store.read("status_log")) if by_latest else batch
+            if not successes(decisive).isEmpty():
+                refresh_analytics(store)
 
     return (
         messages.writeStream.foreachBatch(handle)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
+from pathlib import Path
+
 import pytest
 from samples import FIRST_DAY, HEADER, SECOND_DAY
 
-from rankloom import plans
+from rankloom import plans, sources
 from rankloom.sinks import Warehouse
+from rankloom.staging import shared_root
 
 STAR = ("player_dim", "country_dim", "date_dim", "rankings")
 
@@ -104,3 +108,26 @@ def test_other_date_forms(spark, warehouse):
         "2024-12-26",
         "2024-12-27",
     ]
+
+
+def test_a_payload_lands_and_loads(spark, warehouse, tmp_path):
+    records = [dict(zip(HEADER.split(","), line.split(","), strict=True)) for line in FIRST_DAY]
+    for record in records:
+        difference = record.pop("difference")
+        if difference:
+            record["difference"] = float(difference)
+        record["id"] = record.pop("id")  # keys in another order than the lines' columns
+    (tmp_path / "payload.json").write_text(json.dumps({"rank": records}))
+    documents = sources.read_payload(spark, str(tmp_path / "payload.json"))
+    plans.land_payload(documents, str(tmp_path / "landed"))
+    assert plans.load_lines(warehouse, sources.read_lines(spark, str(tmp_path / "landed"))) == 1
+    other = Warehouse(spark, f"{warehouse.database}_lines", str(tmp_path / "lines"))
+    plans.load_lines(other, lines_of(spark, FIRST_DAY))
+    assert contents(warehouse) == contents(other)
+
+
+def test_a_load_leaves_no_staged_tables(spark, warehouse):
+    folder = Path(shared_root(spark))
+    before = set(folder.iterdir())
+    plans.load_lines(warehouse, lines_of(spark, FIRST_DAY))
+    assert set(folder.iterdir()) == before
