@@ -170,12 +170,12 @@ FROM (SELECT DISTINCT ts FROM events)""",
     "country_filter": _ON_FEED + "SELECT * FROM feed WHERE country = 'NATION_3'",
     "jsonl_records": _ON_FEED + f"SELECT {_JSON} AS record FROM feed",
     "player_dim": _ON_STAR + "SELECT * FROM player_dim",
-    "player_dim_image": _ON_FILLED
+    "player_dim_image": _ON_FEED
     + """
 SELECT DISTINCT id AS player_id, string_split(name, ' ')[1] AS first_name,
        array_to_string(string_split(name, ' ')[2:], ' ') AS last_name,
        "faceImageId" AS face_image_id
-FROM filled""",
+FROM feed""",
     "country_dim": _ON_STAR + "SELECT * FROM country_dim",
     "date_dim": _ON_STAR + "SELECT * FROM date_dim",
     "new_dates": _ON_STAR + f"SELECT * FROM date_dim WHERE {_NEW}",

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import wraps
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from functools import reduce, wraps
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from rankloom import operators as ops
 from rankloom import plans, sinks, sources, streaming
 from rankloom.catalog.feed import feed, spread, table
 from rankloom.functions import coerce_date, csv_line, iso_text
-from rankloom.schemas import FEED, RANKINGS, RAW_LANDING
+from rankloom.schemas import FEED, RANKINGS
 from rankloom.session import tune
 from rankloom.staging import fresh_folder, stage
 
@@ -48,9 +49,15 @@ def _known(rows: DataFrame) -> DataFrame:
     return stage(ops.date_dim(earlier), "known")
 
 
-def _warehouse(spark: SparkSession) -> sinks.Warehouse:
+@contextmanager
+def _warehouse(spark: SparkSession) -> Iterator[sinks.Warehouse]:
+    """A database of its own, gone from the catalog when the query is built."""
     name = f"rankloom_{uuid4().hex}"
-    return sinks.Warehouse(spark, name, fresh_folder(spark, name))
+    store = sinks.Warehouse(spark, name, fresh_folder(spark, name))
+    try:
+        yield store
+    finally:
+        spark.sql(f"DROP DATABASE `{name}` CASCADE")
 
 
 def _landed(spark: SparkSession, sf_dir: str) -> str:
@@ -189,7 +196,7 @@ def player_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def player_dim_image(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.player_dim(_filled(spark, sf_dir), with_image=True)
+    return ops.player_dim(feed(spark, sf_dir), with_image=True)
 
 
 @query
@@ -297,15 +304,15 @@ def param_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed value, table name and frame handed to one SQL text."""
     rows = _filled(spark, sf_dir)
     facts = ops.rankings(rows, stage(ops.date_dim(rows), "dates"))
-    store = _warehouse(spark)
-    store.append("country_dim", ops.country_dim(rows))
     text = """
         SELECT c.country, r.player_id, r.points
         FROM {facts} r JOIN IDENTIFIER(:countries) c ON r.country_id = c.country_id
         WHERE r.points >= :parameter
     """
-    args = {"parameter": 400, "countries": store.name("country_dim")}
-    return sinks.run_sql(spark, text, args, facts=facts)
+    with _warehouse(spark) as store:
+        store.append("country_dim", ops.country_dim(rows))
+        args = {"parameter": 400, "countries": store.name("country_dim")}
+        return stage(sinks.run_sql(spark, text, args, facts=facts), "result")
 
 
 # --- sinks ------------------------------------------------------------------
@@ -318,59 +325,56 @@ def csv_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = _warehouse(spark)
-    store.append("raw_landing", feed(spark, sf_dir))
-    return store.read("raw_landing").select(*RAW_LANDING.names)
+    with _warehouse(spark) as store:
+        store.append("raw_landing", feed(spark, sf_dir))
+        return stage(store.read("raw_landing"), "result")
 
 
 @query
 def append_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = stage(_star(spark, sf_dir).rankings, "facts")
-    store = _warehouse(spark)
-    store.append("rankings", facts)
-    store.append("rankings", facts)
-    return store.read("rankings")
+    with _warehouse(spark) as store:
+        store.append("rankings", facts)
+        store.append("rankings", facts)
+        return stage(store.read("rankings"), "result")
 
 
 @query
 def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The earlier part of the feed, then all of it: only what is new comes in."""
     rows = feed(spark, sf_dir)
-    store = _warehouse(spark)
-    plans.load_rows(store, rows.where(F.col("lastUpdatedOn") < LOADED_BEFORE))
-    plans.load_rows(store, rows)
-    return store.read("rankings")
+    with _warehouse(spark) as store:
+        plans.load_rows(store, rows.where(F.col("lastUpdatedOn") < LOADED_BEFORE))
+        plans.load_rows(store, rows)
+        return stage(store.read("rankings"), "result")
 
 
 @query
 def replace_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mart of the earlier part, replaced by the mart of the whole."""
     rows = feed(spark, sf_dir)
-    store = _warehouse(spark)
-    plans.load_rows(store, rows.where(F.col("lastUpdatedOn") < LOADED_BEFORE))
-    plans.refresh_analytics(store)
-    plans.load_rows(store, rows)
-    plans.refresh_analytics(store)
-    return store.read("analytics")
+    with _warehouse(spark) as store:
+        plans.load_rows(store, rows.where(F.col("lastUpdatedOn") < LOADED_BEFORE))
+        plans.refresh_analytics(store)
+        plans.load_rows(store, rows)
+        plans.refresh_analytics(store)
+        return stage(store.read("analytics"), "result")
 
 
 @query
 def drop_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows each stored table had, and whether it is still there after the drop."""
     names = ["player_dim", "country_dim", "date_dim", "rankings", "analytics"]
-    store = _warehouse(spark)
-    plans.load_rows(store, feed(spark, sf_dir))
-    plans.refresh_analytics(store)
-    counts = [
-        store.read(name).agg(F.lit(name).alias("table_name"), F.count("*").alias("n_rows"))
-        for name in names
-    ]
-    held = counts[0]
-    for more in counts[1:]:
-        held = held.unionByName(more)
-    held = stage(held, "held")
-    store.drop(names)
-    left = [name for name in names if store.exists(name)]
+    with _warehouse(spark) as store:
+        plans.load_rows(store, feed(spark, sf_dir))
+        plans.refresh_analytics(store)
+        counts = [
+            store.read(name).agg(F.lit(name).alias("table_name"), F.count("*").alias("n_rows"))
+            for name in names
+        ]
+        held = stage(reduce(DataFrame.unionByName, counts), "held")
+        store.drop(names)
+        left = [name for name in names if store.exists(name)]
     return held.withColumn("still_there", F.col("table_name").isin(left))
 
 
@@ -381,27 +385,27 @@ def drop_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 def arrival_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two deliveries, each taken in by a run of its own; other files are ignored."""
     folder = fresh_folder(spark, "arrivals")
-    store = _warehouse(spark)
     rows = feed(spark, sf_dir)
     earlier = F.col("lastUpdatedOn") < LOADED_BEFORE
-    for run, part in enumerate((rows.where(earlier), rows.where(~earlier))):
-        sinks.write_feed_csv(part, f"{folder}/landing/run={run}")
-        sinks.write_lines(_lines(spark, sf_dir), f"{folder}/landing/run={run}/notes")
-        lines = streaming.arriving_lines(spark, f"{folder}/landing", "part-*.csv")
-        streaming.load_arrivals(lines, store, f"{folder}/checkpoint").awaitTermination()
-    return store.read("rankings")
+    with _warehouse(spark) as store:
+        for run, part in enumerate((rows.where(earlier), rows.where(~earlier))):
+            sinks.write_feed_csv(part, f"{folder}/landing/run={run}")
+            sinks.write_lines(_lines(spark, sf_dir), f"{folder}/landing/run={run}/notes")
+            lines = streaming.arriving_lines(spark, f"{folder}/landing", "part-*.csv")
+            streaming.load_arrivals(lines, store, f"{folder}/checkpoint").awaitTermination()
+        return stage(store.read("rankings"), "result")
 
 
 @query
 def status_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The star is stored, the messages arrive, a success among them builds the mart."""
     folder = fresh_folder(spark, "status")
-    store = _warehouse(spark)
-    plans.load_rows(store, feed(spark, sf_dir))
     sinks.write_lines(_messages(spark, sf_dir), f"{folder}/messages")
     messages = streaming.arriving_status(spark, f"{folder}/messages")
-    streaming.refresh_on_success(messages, store, f"{folder}/checkpoint").awaitTermination()
-    return store.read("analytics")
+    with _warehouse(spark) as store:
+        plans.load_rows(store, feed(spark, sf_dir))
+        streaming.refresh_on_success(messages, store, f"{folder}/checkpoint").awaitTermination()
+        return stage(store.read("analytics"), "result")
 
 
 @query

@@ -20,14 +20,14 @@ _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 def shared_root(spark: SparkSession) -> str:
     """The session's checkpoint folder; a private one only on a local master."""
-    root = spark.conf.get(_CHECKPOINT_DIR, None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="rankloom-")
-    spark.conf.set(_CHECKPOINT_DIR, root)
-    return root
+    context = spark.sparkContext
+    root = spark.conf.get(_CHECKPOINT_DIR, None) or context.getCheckpointDir()
+    if not root:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="rankloom-"))
+        root = context.getCheckpointDir()
+    return root.rstrip("/")
 
 
 def _filesystem(spark: SparkSession, path: str) -> tuple:
