@@ -14,15 +14,28 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
+# Spark's default for the option `maxColumns` of its CSV parser.
+PARSER_COLUMNS = 20480
+
 
 def na_to_null(value: Column) -> Column:
     return F.when(~value.isin(*NA_WORDS), value)
 
 
+def count_of(line: Column, character: str) -> Column:
+    return F.length(line) - F.length(F.replace(line, F.lit(character), F.lit("")))
+
+
 def count_fields(line: Column) -> Column:
     """Fields of one CSV line; commas inside quotes do not part fields."""
-    bare = F.regexp_replace(line, '"[^"]*"', "")
-    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    return count_of(F.regexp_replace(line, '"[^"]*"', ""), ",") + 1
+
+
+def parsable(line: Column) -> Column:
+    """Whether the CSV parser takes the line: it fails a task beyond its column limit."""
+    return F.when(count_of(line, ",") < PARSER_COLUMNS, True).otherwise(
+        count_fields(line) <= PARSER_COLUMNS
+    )
 
 
 def csv_line(*columns: Column | str) -> Column:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.functions.text import CSV_OPTIONS, count_fields, na_to_null, parse_once
+from rankloom.functions.text import CSV_OPTIONS, count_fields, count_of, na_to_null
+from rankloom.functions.text import parsable, parse_once
 from rankloom.schemas import FEED
 
 HEADER_PREFIX = "id,"
@@ -35,8 +36,12 @@ def decode_lines(lines: DataFrame) -> DataFrame:
     """
     shape = ", ".join(f"`{name}` string" for name in FEED.names) + ", `_misfit` string"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_misfit", **CSV_OPTIONS}
+    line = F.col("value")
+    readable = F.when(parsable(line), line)
     cells = without_headers(lines).select(
-        F.col("value").alias("raw_line"), parse_once(F.from_csv("value", shape, options))
+        line.alias("raw_line"),
+        readable.isNull().alias("_unread"),
+        parse_once(F.from_csv(readable, shape, options)),
     )
 
     words = {name: na_to_null(F.col(name)) for name in FEED.names}
@@ -47,11 +52,11 @@ def decode_lines(lines: DataFrame) -> DataFrame:
             mistyped = mistyped | (words[name].isNotNull() & typed[name].isNull())
 
     raw, misfit = F.col("raw_line"), F.col("_misfit").isNotNull()
-    quotes = F.length(raw) - F.length(F.replace(raw, F.lit('"'), F.lit("")))
     reason = (
         F.when(raw == "", "blank line")
+        .when(F.col("_unread"), "too many fields")
         .when(misfit & (count_fields(raw) > len(FEED)), "too many fields")
-        .when(misfit & (quotes % 2 == 1), "open quote")
+        .when(misfit & (count_of(raw, '"') % 2 == 1), "open quote")
         .when(mistyped, "not a number")
     )
     return cells.select(

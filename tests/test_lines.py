@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import json
 
@@ -81,6 +82,46 @@ def test_quotes_and_blanks(decode):
     assert bad == {line + ",x": "too many fields"}
 
 
+def test_a_line_beyond_the_parsers_limit_fails_nothing(decode):
+    endless = "1" + ",2" * 30_000
+    quoted = GOOD.replace("Babar Azam", '"' + "," * 30_000 + '"')
+    good, bad = decode(endless, GOOD, quoted)
+    assert bad == {endless: "too many fields"}
+    assert sorted(len(row["name"]) for row in good) == [10, 30_000]
+
+
+@settings(max_examples=15, deadline=None)
+@given(
+    st.lists(
+        st.tuples(st.text(alphabet='ab,"é -', max_size=6), st.integers(1, 14)),
+        min_size=1,
+        max_size=15,
+    )
+)
+def test_lines_decode_as_a_csv_reader_reads_them(spark, cases):
+    """Any text in the text columns, any number of fields."""
+    lines = []
+    for number, (text, width) in enumerate(cases):
+        fields = [str(number), "2", text, text, "5", "5", text, text, text, "3", "1.5", "x", "y", "z"]
+        buffer = io.StringIO()
+        csv.writer(buffer, lineterminator="").writerow(fields[:width])
+        lines.append(buffer.getvalue())
+    frame = spark.createDataFrame([(line,) for line in lines], "value string")
+    decoded = sources.decode_lines(frame)
+    got = {row.id: row for row in sources.accepted(decoded).collect()}
+    rejects = {row.raw_line for row in sources.rejected(decoded).collect()}
+    for number, (line, (text, width)) in enumerate(zip(lines, cases, strict=True)):
+        if width > len(FEED):
+            assert line in rejects
+            continue
+        expected = [f or None for f in next(csv.reader([line]))]
+        expected += [None] * (len(FEED) - len(expected))
+        row = got[number]
+        assert [row[c] for c in ("name", "country", "lastUpdatedOn", "trend", "faceImageId")] == [
+            expected[i] for i in (2, 3, 6, 7, 8)
+        ]
+
+
 @pytest.mark.parametrize("word", [w for w in NA_WORDS if w])
 def test_missing_value_words(decode, word):
     good, bad = decode(f"1,{word},{word},{word},5,5,{word},{word},{word},3,{word}")
