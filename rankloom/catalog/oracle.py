@@ -187,6 +187,18 @@ WHERE NOT EXISTS (SELECT 1 FROM known WHERE loaded IS NOT DISTINCT FROM updated_
     "incremental_fact": _ON_STAR
     + f"SELECT * FROM rankings WHERE date_id IN (SELECT date_id FROM date_dim WHERE {_NEW})",
     "rankings_fact": _ON_STAR + "SELECT * FROM rankings",
+    "datetime_fact": _ON_FEED
+    + """,
+timed AS (
+  SELECT *, CAST("lastUpdatedOn" || ' 0' || rank || ':00:00' AS TIMESTAMP) AS stamp FROM feed
+),
+stamps AS (
+  SELECT stamp, CAST(row_number() OVER (ORDER BY stamp) AS BIGINT) AS date_id
+  FROM (SELECT DISTINCT stamp FROM timed)
+)
+SELECT DISTINCT id AS player_id, "countryId" AS country_id, date_id, rank, rating, points,
+       coalesce(difference, 0.0) AS difference, coalesce(trend, 'Flat') AS trend
+FROM timed JOIN stamps USING (stamp)""",
     "tagged_counts": _ON_STAR
     + """
 SELECT 'player' AS type, count(*) AS n FROM player_dim

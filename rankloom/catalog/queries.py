@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from rankloom import operators as ops
 from rankloom import plans, sinks, sources, streaming
 from rankloom.catalog.feed import feed, spread, table
-from rankloom.functions import coerce_date, csv_line, iso_text
+from rankloom.functions import coerce_date, csv_line, epoch_seconds, iso_text
 from rankloom.schemas import FEED, RANKINGS
 from rankloom.session import tune
 from rankloom.staging import fresh_folder, stage
@@ -74,9 +74,8 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as encoded status messages; a purchase stands for a success."""
     kind = F.col("event_type")
     status = F.when(kind == "purchase", streaming.status.SUCCESS).otherwise(kind)
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
     return spread(table(spark, sf_dir, "events")).select(
-        sources.encode_status(status, micros / F.lit(1e6)).alias("value")
+        sources.encode_status(status, epoch_seconds(F.col("ts"))).alias("value")
     )
 
 
@@ -235,6 +234,15 @@ def rankings_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.rankings(rows, stage(ops.date_dim(rows), "dates"))
 
 
+@query
+def datetime_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The star stamped by time: each row at an hour of its own rank."""
+    timed = F.concat_ws(" ", "lastUpdatedOn", F.format_string("%02d:00:00", "rank"))
+    rows = feed(spark, sf_dir).withColumn("lastUpdatedOn", timed)
+    rows = stage(ops.fill_defaults(rows, keep_time=True), "rows")
+    return ops.rankings(rows, stage(ops.datetime_dim(rows, "updated_on"), "dates"))
+
+
 @query
 def tagged_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tagged = ops.tag_records(_tables(spark, sf_dir))

@@ -39,3 +39,11 @@ def calendar_fields(day: Column) -> dict[str, Column]:
 
 def iso_text(day: Column) -> Column:
     return F.date_format(day, "yyyy-MM-dd")
+
+
+def epoch_seconds(stamp: Column) -> Column:
+    """Seconds since 1970 of a zoneless timestamp, whatever zone the session is in."""
+    whole = F.unix_date(stamp.cast("date")) * F.lit(86400).cast("bigint")
+    whole = whole + F.hour(stamp) * 3600 + F.minute(stamp) * 60
+    micros = (F.extract(F.lit("SECOND"), stamp) * 1000000).cast("bigint")
+    return (whole * 1000000 + micros) / F.lit(1e6)

@@ -17,8 +17,8 @@ from rankloom.schemas import TABLES
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """`df` by name in the order and types of `schema`.
 
-    A missing column is NULL and a surplus one an error. Casts are strict: a
-    value that does not fit fails the write.
+    A missing column is NULL and a surplus one an error. A value that does not
+    fit its type fails the write, as casts do in ANSI mode, Spark's default.
     """
     surplus = set(df.columns) - set(schema.names)
     if surplus:
