@@ -25,6 +25,8 @@ def spread(df: DataFrame) -> DataFrame:
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The eleven feed columns, with NULLs in `trend`, `faceImageId` and `difference`."""
     orders, customer, nation = (table(spark, sf_dir, n) for n in ("orders", "customer", "nation"))
+    # Ahead of the join: once per customer, not once per order.
+    customer = customer.withColumn("name", F.replace("c_name", F.lit("#"), F.lit(" ")))
     joined = spread(orders).join(customer, F.col("o_custkey") == F.col("c_custkey")).join(
         nation, F.col("c_nationkey") == F.col("n_nationkey")
     )
@@ -33,7 +35,7 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = {
         "id": F.col("o_custkey"),
         "rank": F.substring("o_orderpriority", 1, 1),
-        "name": F.translate("c_name", "#", " "),
+        "name": F.col("name"),
         "country": F.col("n_name"),
         "rating": score,
         "points": score,
