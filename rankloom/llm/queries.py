@@ -4,16 +4,48 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankloom.llm import quality_rules
+from rankloom.llm import license_scan, mixing, quality_rules, secret_scan, url_filters
 from rankloom.llm.columns import table
 
 
+# The rules that every URL is judged by.
+URL_RULES = """
+    SELECT * FROM VALUES
+        ('org', '/', 'allow'),
+        ('example.org', '/es/', 'block'),
+        ('example.org', '/en/1', 'block'),
+        ('com', '/fr/', 'allow'),
+        ('com', '/de/', 'block')
+    AS rules(host, path, verdict)
+"""
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents"))
 
 
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge(table(spark, sf_dir, "pages"), spark.sql(URL_RULES))
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents")).drop("detections")
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_mixing": op1_mixing,
     "op3_quality_rules": op3_quality_rules,
+    "op4_url_filters": op4_url_filters,
+    "op6_license_scan": op6_license_scan,
+    "op9_secret_scan": op9_secret_scan,
 }
 
 ORACLE: dict[str, str] = {}
