@@ -14,6 +14,7 @@ Repeated rows are judged each by itself; other columns are not looked at.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 
 from rankloom.functions.text import parse_once
 from rankloom.llm.columns import (
+    NOT_WORD,
     ascii_lower,
     let,
     matches,
@@ -41,7 +43,7 @@ PHRASE_CONFIDENCE = 60
 
 
 class Family(NamedTuple):
-    """Licenses of one name: the keyword that gates them, a pattern of the name, versions."""
+    """Licenses of one name: how a word that gates them begins, a pattern of the name, versions."""
 
     label: str
     keyword: str
@@ -51,8 +53,8 @@ class Family(NamedTuple):
 
 FAMILIES = (
     Family("apache", "apache", "apache(?: software)?", ("1.0", "1.1", "2.0")),
-    Family("mit", "mit", "(?:mit|expat)"),
-    Family("mit-0", "mit", "mit (?:no attribution|0)"),
+    Family("mit", "licen", "(?:mit|expat)"),
+    Family("mit-0", "licen", "mit (?:no attribution|0)"),
     Family("bsd-2-clause", "bsd", "(?:simplified bsd|bsd 2 clause|2 clause bsd|freebsd)"),
     Family("bsd-3-clause", "bsd", "(?:(?:new|modified|revised) bsd|bsd 3 clause|3 clause bsd)"),
     Family("bsd-4-clause", "bsd", "(?:original bsd|bsd 4 clause|4 clause bsd)"),
@@ -176,12 +178,23 @@ def _rules() -> Iterator[Rule]:
 
 
 RULES = tuple(_rules())
+RULE_TABLE = (
+    "array<struct<keyword:string,rules:"
+    "array<struct<pattern:string,label:string,priority:int,confidence:int>>>>"
+)
 
 
 def _gate(rules: tuple[Rule, ...]) -> str:
-    """A pattern of the raw text, in either case, that every text with a keyword fits."""
-    first_words = sorted({r.keyword.split()[0] for r in rules} | {p.split()[0] for p in PHRASES})
-    return f"(?i)(?<![0-9A-Za-z])(?:{'|'.join(first_words)})(?![0-9A-Za-z])"
+    """A pattern of the raw text, in either case, that every text with a keyword fits.
+
+    Grouped by first letter, so that most words fail after a few comparisons.
+    """
+    by_letter: dict[str, set[str]] = {}
+    for keyword in {r.keyword for r in rules} | set(PHRASES):
+        rest = keyword[1:].replace(" ", NOT_WORD)
+        by_letter.setdefault(keyword[0], set()).add(rest)
+    branches = [f"{x}(?:{'|'.join(sorted(rests))})" for x, rests in sorted(by_letter.items())]
+    return f"(?i)(?<![0-9A-Za-z])(?:{'|'.join(branches)})"
 
 
 def _phrase_places(spaced: Column, phrase: str) -> Column:
@@ -202,28 +215,13 @@ def _phrase_places(spaced: Column, phrase: str) -> Column:
 
 def _detections(spaced: Column, rules: tuple[Rule, ...]) -> Column:
     """All intervals of the rules whose keyword the text holds."""
-    by_keyword: dict[str, list[Rule]] = {}
+    by_keyword: dict[str, list[dict]] = {}
     for rule in rules:
-        by_keyword.setdefault(rule.keyword, []).append(rule)
-    groups = F.array(
-        *[
-            F.struct(
-                F.lit(f" {keyword}").alias("keyword"),
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(f"(?<= ){r.pattern}(?= )").alias("pattern"),
-                            F.lit(r.label).alias("label"),
-                            F.lit(r.priority).alias("priority"),
-                            F.lit(r.confidence).alias("confidence"),
-                        )
-                        for r in own
-                    ]
-                ).alias("rules"),
-            )
-            for keyword, own in by_keyword.items()
-        ]
-    )
+        found = rule._asdict() | {"pattern": f"(?<= ){rule.pattern}(?= )"}
+        by_keyword.setdefault(rule.keyword, []).append(found)
+    # One literal: a constant to the optimiser, and cheap to build.
+    table = [{"keyword": f" {keyword}", "rules": own} for keyword, own in by_keyword.items()]
+    groups = F.from_json(F.lit(json.dumps(table)), RULE_TABLE)
 
     def run(rule: Column) -> Column:
         # The text starts with a blank, so the word at the first match is one less.
