@@ -1 +1,11 @@
-"""Operators of a training-data pipeline, one module each."""
+"""Operators of a training-data pipeline, one module each.
+
+Their functions travel to the executors by value, so that the package need not
+be installed there.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankloom.llm import license_scan, mixing, quality_rules, secret_scan, url_filters
+from rankloom.llm import (
+    decontamination,
+    license_scan,
+    mixing,
+    quality_rules,
+    secret_scan,
+    url_filters,
+)
 from rankloom.llm.columns import table
 
 
@@ -36,6 +43,11 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontamination.report(docs, items)
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -45,6 +57,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_url_filters": op4_url_filters,
     "op6_license_scan": op6_license_scan,
+    "op8_decontamination": op8_decontamination,
     "op9_secret_scan": op9_secret_scan,
 }
 
