@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from rankloom.llm import (
@@ -10,11 +11,14 @@ from rankloom.llm import (
     mixing,
     quality_rules,
     secret_scan,
+    token_files,
     url_filters,
 )
 from rankloom.llm.columns import table
 
 
+TOKENIZER = "word_bpe_49k.json"
+
 # The rules that every URL is judged by.
 URL_RULES = """
     SELECT * FROM VALUES
@@ -39,6 +43,11 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(table(spark, sf_dir, "pages"), spark.sql(URL_RULES))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_files.write_and_read(docs, public_tokenizers.path(TOKENIZER))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents")).drop("detections")
 
@@ -56,6 +65,7 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op3_quality_rules": op3_quality_rules,
     "op4_url_filters": op4_url_filters,
+    "op5_token_files": op5_token_files,
     "op6_license_scan": op6_license_scan,
     "op8_decontamination": op8_decontamination,
     "op9_secret_scan": op9_secret_scan,
