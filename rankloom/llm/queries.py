@@ -13,6 +13,7 @@ from rankloom.llm import (
     secret_scan,
     token_files,
     url_filters,
+    warc_archives,
 )
 from rankloom.llm.columns import table
 
@@ -61,6 +62,10 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op10_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_archives.write_and_read(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op3_quality_rules": op3_quality_rules,
@@ -69,6 +74,7 @@ QUERIES = {
     "op6_license_scan": op6_license_scan,
     "op8_decontamination": op8_decontamination,
     "op9_secret_scan": op9_secret_scan,
+    "op10_warc_archives": op10_warc_archives,
 }
 
 ORACLE: dict[str, str] = {}
