@@ -9,6 +9,7 @@ from rankloom.llm import (
     decontamination,
     license_scan,
     mixing,
+    ngram_join,
     quality_rules,
     secret_scan,
     token_files,
@@ -53,6 +54,10 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.links_per_row(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontamination.report(docs, items)
@@ -72,6 +77,7 @@ QUERIES = {
     "op4_url_filters": op4_url_filters,
     "op5_token_files": op5_token_files,
     "op6_license_scan": op6_license_scan,
+    "op7_ngram_join": op7_ngram_join,
     "op8_decontamination": op8_decontamination,
     "op9_secret_scan": op9_secret_scan,
     "op10_warc_archives": op10_warc_archives,
