@@ -16,7 +16,7 @@ holds, and blocks are written as they fill, so memory is bounded by one batch of
 texts and the tables of one shard.
 
 The tokenizer encodes each distinct run of non-blank characters once; the words'
-ids are kept in a table of bounded size. It must be one that puts no token across
+ids are kept in a table of bounded size, from one task of a worker to the next. It must be one that puts no token across
 a blank and none for a blank, which `encoder` tests.
 
 Defined results: null texts are empty and hold the end id only; rows without id
@@ -39,13 +39,14 @@ from pyspark.sql import functions as F
 
 from rankloom.llm.columns import whole
 from rankloom.llm.files import new_file, store_of
+from rankloom.llm.process import kept
 from rankloom.staging import fresh_folder, stage
 
 END_ID = 2
 BLOCK_IDS = 1 << 12
 SHARD_IDS = 1 << 25
 SHARD_DOCS = 1 << 20
-WORDS_KEPT = 1 << 19
+WORDS_KEPT = 1 << 20
 
 _HEAD, _TAIL = "<4sHHIQQ", "<QQQ"
 _HEAD_SIZE, _TAIL_SIZE = struct.calcsize(_HEAD), struct.calcsize(_TAIL)
@@ -229,7 +230,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID) ->
     )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        to_ids, size = encoder(tokenizer)
+        to_ids, size = kept(("encoder", tokenizer), lambda: encoder(tokenizer))
         bits = bits_for(max(size, end_id + 1))
         tail = np.array([end_id], "<u4").tobytes()
         writer, nr, part = None, 0, 0
