@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from rankloom.llm.columns import whole
 from rankloom.llm.components import components
+from rankloom.llm.sieve import hits, sieve_of, sifted
 from rankloom.llm.words import words_of
 from rankloom.staging import stage
 
@@ -216,7 +217,10 @@ def _units(classes: DataFrame) -> DataFrame:
 
 
 _UNIT = ["band", "value", "i", "j"]
-_WANTED = "band int, value long, i int, j int, block int, digest binary, k long, size long, bands array<bigint>"
+_WANTED = (
+    "band int, value long, i int, j int, block int, "
+    "digest binary, k long, size long, bands array<bigint>"
+)
 
 
 def _wanted(units: DataFrame, classes: DataFrame) -> DataFrame:
@@ -260,23 +264,24 @@ def _with_schema(
 
 
 def _sets(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """The n-gram sets of the rows with these keys, as packed hashes."""
+    """The n-gram sets of the rows with these keys, as packed hashes.
+
+    No text is shuffled: a sieve of the keys picks the texts where they are read.
+    It may let some more through, which the join on the key leaves out.
+    """
+    sieve = sieve_of(keys, "k")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, last = ngram_hasher(), None
+        hashes = ngram_hasher()
         for batch in batches:
-            found, packed = [], []
-            for k, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if k != last:
-                    found.append(k)
-                    packed.append(hashes(text.as_py()).tobytes())
-                last = k
+            batch = batch.filter(pa.array(hits(sieve.value, batch.column(0).to_numpy())))
+            packed = [hashes(text.as_py()).tobytes() for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.int64()), pa.array(packed, pa.binary())], names=["k", "grams"]
+                [batch.column(0), pa.array(packed, pa.binary())], names=["k", "grams"]
             )
 
-    texts = rows.select("k", "text").join(keys, "k", "left_semi")
-    return texts.mapInArrow(hashed, "k long, grams binary").dropDuplicates(["k"])
+    found = rows.select("k", "text").mapInArrow(hashed, "k long, grams binary")
+    return found.dropDuplicates(["k"])
 
 
 def _linked(left: list[dict], right: list[dict], pairs: np.ndarray) -> np.ndarray:
@@ -327,9 +332,7 @@ _LINKS = "a binary, b binary, texts long, classes long"
 
 def _links(wanted: DataFrame, sets: DataFrame) -> DataFrame:
     """Rows of two kinds: (a, b) a link of the forest; (a, null) what class a is linked to here."""
-    rows = wanted.join(sets, "k").select(
-        *_UNIT, "block", "digest", "size", "bands", "grams"
-    )
+    rows = wanted.join(sets, "k").select(*_UNIT, "block", "digest", "size", "bands", "grams")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for unit in _runs(batches, len(_UNIT)):
@@ -368,7 +371,8 @@ def join(docs: DataFrame) -> Joined:
     classes = known.groupBy("digest").agg(
         first, F.count("*").alias("size"), F.first("bands").alias("bands")
     )
-    classes = stage(classes.select("digest", "first.id", "first.k", "size", "bands"), "ngram-classes")
+    classes = classes.select("digest", "first.id", "first.k", "size", "bands")
+    classes = stage(classes, "ngram-classes")
     wanted = stage(_wanted(_units(classes), classes), "ngram-wanted")
     sets = _sets(rows, wanted.select("k").distinct())
     links = stage(_links(wanted, sets), "ngram-links")
@@ -383,7 +387,8 @@ def join(docs: DataFrame) -> Joined:
     root = F.coalesce("root", "digest")
     leader = F.struct(F.col("id").isNull().alias("no_id"), "id", "k")
     leaders = named.where("root IS NOT NULL").groupBy("root").agg(F.min(leader).alias("lead"))
-    found = named.withColumn("root", root).join(degree, "digest", "left").join(leaders, "root", "left")
+    found = named.withColumn("root", root).join(degree, "digest", "left")
+    found = found.join(leaders, "root", "left")
     return Joined(
         signed.select("id", "k", "digest"),
         found.select(
@@ -417,12 +422,23 @@ def links_per_row(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each group, that of the smallest id, and every row without words."""
+    """One row of each group, that of the smallest id, and every row without words.
+
+    Only rows that a sieve of the doubtful ones lets through are shuffled: those of
+    groups of several rows, and few more.
+    """
     joined = join(docs)
-    kept = joined.classes.where("k = group_k").select(F.col("k").alias("_k"))
-    wordless = joined.members.where("digest IS NULL").select(F.col("k").alias("_k")).distinct()
-    rows = docs.select(
-        F.struct("*").alias("_row"), F.xxhash64("doc_id", whole()).alias("_k")
+    classes = joined.classes.select("digest", "k", "group_k")
+    members = joined.members.where("digest IS NOT NULL").join(
+        classes.withColumnRenamed("k", "class_k"), "digest"
     )
-    first = rows.join(kept, "_k", "left_semi").dropDuplicates(["_k"])
-    return first.unionByName(rows.join(wordless, "_k", "left_semi")).select("_row.*")
+    leads = (F.col("k") == F.col("class_k")) & (F.col("k") == F.col("group_k"))
+    judged = members.groupBy("k").agg(F.count("*").alias("n"), F.max(leads).alias("leads"))
+    doubtful = stage(judged.where("n > 1 OR NOT leads").select("k", "leads"), "ngram-doubtful")
+    rows = docs.select(F.struct("*").alias("_row"), F.xxhash64("doc_id", whole()).alias("k"))
+    sieve = sieve_of(doubtful, "k")
+    inside = sifted(rows, "k", sieve, True).join(doubtful, "k", "left")
+    alone = inside.where("leads IS NULL").select("_row")
+    first = inside.where("leads").dropDuplicates(["k"]).select("_row")
+    passed = sifted(rows, "k", sieve, False).select("_row")
+    return passed.unionByName(alone).unionByName(first).select("_row.*")
