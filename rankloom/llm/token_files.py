@@ -224,7 +224,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID) ->
     """Write all texts; per shard its place in the order, its path and its number of ids."""
     ordered = (
         docs.select("doc_id", whole().alias("text"))
-        .repartitionByRange("doc_id", "text")
+        .repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id", "text")
         .withColumn("part", F.spark_partition_id())
     )
