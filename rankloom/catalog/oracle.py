@@ -5,11 +5,11 @@ from __future__ import annotations
 _FEED = """
 feed AS (
   SELECT o.o_custkey AS id,
-         CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS rank,
+         CAST(substr(o.o_orderpriority, 1, 1) AS BIGINT) AS rank,
          replace(c.c_name, '#', ' ') AS name,
          n.n_name AS country,
-         CAST(floor(o.o_totalprice / 1000) AS INTEGER) AS rating,
-         CAST(floor(o.o_totalprice / 1000) AS INTEGER) AS points,
+         CAST(floor(o.o_totalprice / 1000) AS BIGINT) AS rating,
+         CAST(floor(o.o_totalprice / 1000) AS BIGINT) AS points,
          CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) AS "lastUpdatedOn",
          CASE o.o_orderstatus WHEN 'F' THEN 'Up' WHEN 'P' THEN 'Down' END AS trend,
          CASE WHEN o.o_orderkey % 5 <> 0
@@ -215,7 +215,7 @@ SELECT country, count(*) AS n_rankings, count(DISTINCT player_id) AS n_players,
 FROM analytics GROUP BY country""",
     "score_distribution": _ON_MART
     + """
-SELECT CAST(floor(rating / 50.0) * 50 AS INTEGER) AS rating_from, count(*) AS n_rankings
+SELECT CAST(floor(rating / 50.0) * 50 AS BIGINT) AS rating_from, count(*) AS n_rankings
 FROM analytics GROUP BY 1""",
     "trend_by_month": _ON_MART
     + """

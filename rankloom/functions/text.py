@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rankloom.schemas import NA_WORDS
 
@@ -38,6 +39,17 @@ def parsable(line: Column) -> Column:
     )
 
 
+def whole_number(text: Column) -> Column:
+    """64-bit integers, also written with a fraction of zeros (`795.0`), else NULL."""
+    digits = F.regexp_extract(text, r"^\s*([+-]?[0-9]+)\.0*\s*$", 1)
+    return F.coalesce(text.try_cast("bigint"), digits.try_cast("bigint"))
+
+
+def typed(text: Column, kind: T.DataType) -> Column:
+    """Text as a value of `kind`, NULL where it is none."""
+    return whole_number(text) if isinstance(kind, T.LongType) else text.try_cast(kind)
+
+
 def csv_line(*columns: Column | str) -> Column:
     return F.to_csv(F.struct(*columns), CSV_OPTIONS)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankloom.schemas import RANKINGS
+
 
 def rankings(rows: DataFrame, dates: DataFrame, distinct: bool = True) -> DataFrame:
     """Feed rows with the key of their date; rows without a date match the NULL day.
@@ -14,14 +16,6 @@ def rankings(rows: DataFrame, dates: DataFrame, distinct: bool = True) -> DataFr
     """
     keys = dates.select("date_id", F.col("date").alias("_day"))
     located = rows.join(keys, F.col("updated_on").eqNullSafe(F.col("_day")), "left")
-    facts = located.select(
-        F.col("id").alias("player_id"),
-        F.col("countryId").alias("country_id"),
-        "date_id",
-        "rank",
-        "rating",
-        "points",
-        "difference",
-        "trend",
-    )
+    named = located.withColumnsRenamed({"id": "player_id", "countryId": "country_id"})
+    facts = named.select(*RANKINGS.names)
     return facts.distinct() if distinct else facts

@@ -19,7 +19,7 @@ def team_performance(mart: DataFrame) -> DataFrame:
 
 def score_distribution(mart: DataFrame, width: int = 50) -> DataFrame:
     """Rankings per rating band of `width` points."""
-    band = (F.floor(F.col("rating") / width) * width).cast("int").alias("rating_from")
+    band = (F.floor(F.col("rating") / width) * width).cast("bigint").alias("rating_from")
     return mart.groupBy(band).agg(F.count("*").alias("n_rankings"))
 
 

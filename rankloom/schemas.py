@@ -15,11 +15,11 @@ _text, _date, _stamp = T.StringType(), T.DateType(), T.TimestampNTZType()
 # The eleven columns of a feed line, in file order.
 FEED = _struct(
     id=_long,
-    rank=_int,
+    rank=_long,
     name=_text,
     country=_text,
-    rating=_int,
-    points=_int,
+    rating=_long,
+    points=_long,
     lastUpdatedOn=_text,
     trend=_text,
     faceImageId=_text,
@@ -27,7 +27,7 @@ FEED = _struct(
     difference=_double,
 )
 
-# The untyped landing table some users keep next to the star.
+# The untyped landing table some users keep next to the star.
 RAW_LANDING = _struct(
     id=_long,
     rank=_text,
@@ -42,7 +42,7 @@ RAW_LANDING = _struct(
     difference=_text,
 )
 
-# A payload document: one array under `rank`. Every value is text but
+# A payload document. One array under `rank`. Every value is text but
 # `difference`, which is a number and may be absent.
 PAYLOAD = T.StructType(
     [
@@ -60,6 +60,7 @@ PAYLOAD = T.StructType(
     ]
 )
 
+# Columns of the dimensions, the facts and the mart.
 PLAYER_DIM = _struct(player_id=_long, first_name=_text, last_name=_text)
 PLAYER_DIM_IMAGE = _struct(player_id=_long, first_name=_text, last_name=_text, face_image_id=_text)
 COUNTRY_DIM = _struct(country_id=_long, country=_text)
@@ -72,9 +73,9 @@ RANKINGS = _struct(
     player_id=_long,
     country_id=_long,
     date_id=_long,
-    rank=_int,
-    rating=_int,
-    points=_int,
+    rank=_long,
+    rating=_long,
+    points=_long,
     difference=_double,
     trend=_text,
 )
@@ -82,9 +83,9 @@ ANALYTICS = _struct(
     player_id=_long,
     country_id=_long,
     date_id=_long,
-    rank=_int,
-    rating=_int,
-    points=_int,
+    rank=_long,
+    rating=_long,
+    points=_long,
     difference=_double,
     trend=_text,
     first_name=_text,

@@ -1,13 +1,16 @@
 """Scans: text lines, CSV files, payload documents, status messages, tables."""
 
-from rankloom.sources.lines import accepted, decode_lines, read_feed_csv, read_lines, rejected
+from rankloom.sources.lines import accepted, decode_csv, decode_lines, read_feed_csv, read_lines
+from rankloom.sources.lines import rejected
 from rankloom.sources.lines import without_headers
-from rankloom.sources.payload import flatten_payload, parse_payload, read_payload
-from rankloom.sources.status import decode_status, encode_status
+from rankloom.sources.payload import decode_payload, flatten_payload, parse_payload, read_payload
+from rankloom.sources.status import decode_status, encode_status, rejected_status
 
 __all__ = [
     "accepted",
+    "decode_csv",
     "decode_lines",
+    "decode_payload",
     "decode_status",
     "encode_status",
     "flatten_payload",
@@ -16,5 +19,6 @@ __all__ = [
     "read_lines",
     "read_payload",
     "rejected",
+    "rejected_status",
     "without_headers",
 ]

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.functions.text import CSV_OPTIONS, count_fields, count_of, na_to_null
-from rankloom.functions.text import parsable, parse_once
+from rankloom.functions.text import CSV_OPTIONS, count_fields, count_of, csv_line, na_to_null
+from rankloom.functions.text import parsable, parse_once, typed
 from rankloom.schemas import FEED
 
 HEADER_PREFIX = "id,"
@@ -17,9 +17,33 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def decode_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Whole-file scan of CSV, bound by the header's names; shaped as `decode_lines`.
+
+    Columns may stand in any order and be absent (then NULL); a name that is not
+    in the contract is an error, and so are files of one scan whose headers differ.
+    Long lines and text in a number column are marked.
+    """
+    options = {"header": True, **CSV_OPTIONS}
+    names = spark.read.options(**options).csv(path).columns
+    unknown = sorted(set(names) - set(FEED.names))
+    if unknown:
+        raise ValueError(f"no such columns in the feed: {unknown}")
+    shape = ", ".join(f"`{name}` string" for name in [*names, "_misfit"])
+    strict = {"enforceSchema": False, "columnNameOfCorruptRecord": "_misfit", **options}
+    cells = spark.read.schema(shape).options(**strict).csv(path)
+    given = [F.col(n) if n in names else F.lit(None).cast("string").alias(n) for n in FEED.names]
+    misfit = F.col("_misfit")
+    # A line with fewer fields than the header is padded, as `decode_lines` does.
+    long = misfit.isNotNull() & (count_fields(misfit) > len(names))
+    written = F.coalesce(misfit, csv_line(*names))
+    cells = cells.select(*given, written.alias("raw_line"), long.alias("_long"))
+    return _typed(cells, [(F.col("_long"), "too many fields")])
+
+
 def read_feed_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Whole-file scan of CSV with a header line."""
-    return spark.read.schema(FEED).options(header=True, **CSV_OPTIONS).csv(path)
+    """The lines of `decode_csv` that can be read."""
+    return accepted(decode_csv(spark, path))
 
 
 def without_headers(lines: DataFrame) -> DataFrame:
@@ -44,23 +68,33 @@ def decode_lines(lines: DataFrame) -> DataFrame:
         parse_once(F.from_csv(readable, shape, options)),
     )
 
+    raw, misfit = F.col("raw_line"), F.col("_misfit").isNotNull()
+    return _typed(
+        cells,
+        [
+            (raw == "", "blank line"),
+            (F.col("_unread"), "too many fields"),
+            (misfit & (count_fields(raw) > len(FEED)), "too many fields"),
+            (misfit & (count_of(raw, '"') % 2 == 1), "open quote"),
+        ],
+    )
+
+
+def _typed(cells: DataFrame, faults: list[tuple[Column, str]]) -> DataFrame:
+    """Cells of text in the contract's types, with `raw_line` and the first fault's reason."""
     words = {name: na_to_null(F.col(name)) for name in FEED.names}
-    typed = {f.name: words[f.name].try_cast(f.dataType) for f in FEED}
+    values = {f.name: typed(words[f.name], f.dataType) for f in FEED}
     mistyped = F.lit(False)
     for name in FEED.names:
         if FEED[name].dataType.typeName() != "string":
-            mistyped = mistyped | (words[name].isNotNull() & typed[name].isNull())
-
-    raw, misfit = F.col("raw_line"), F.col("_misfit").isNotNull()
-    reason = (
-        F.when(raw == "", "blank line")
-        .when(F.col("_unread"), "too many fields")
-        .when(misfit & (count_fields(raw) > len(FEED)), "too many fields")
-        .when(misfit & (count_of(raw, '"') % 2 == 1), "open quote")
-        .when(mistyped, "not a number")
-    )
+            mistyped = mistyped | (words[name].isNotNull() & values[name].isNull())
+    reason = F.lit(None).cast("string")
+    for fault, text in reversed([*faults, (mistyped, "not a number")]):
+        reason = F.when(fault, text).otherwise(reason)
     return cells.select(
-        *[typed[name].alias(name) for name in FEED.names], raw, reason.alias("reject_reason")
+        *[values[name].alias(name) for name in FEED.names],
+        "raw_line",
+        reason.alias("reject_reason"),
     )
 
 

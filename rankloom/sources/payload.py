@@ -2,26 +2,85 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rankloom.functions.text import parse_once
+from rankloom.functions.text import parse_once, typed
 from rankloom.schemas import FEED, PAYLOAD
+from rankloom.sources.lines import accepted
+
+# Values are taken as text and typed afterwards, so a wrong one spoils its record alone.
+_RECORD = T.MapType(T.StringType(), T.StringType())
 
 
 def read_payload(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
-    """Documents from files: one per file, or one per line (files then split)."""
-    return spark.read.schema(PAYLOAD).option("multiLine", one_per_file).json(path)
+    """Documents from files, as text in `value`: one per file, or one per line.
+
+    A document is one row of one task: for bulk data, write one per line.
+    """
+    return spark.read.text(path, wholetext=one_per_file)
 
 
 def parse_payload(texts: DataFrame, column: str = "value") -> DataFrame:
-    """Documents from a text column."""
+    """Documents parsed strictly to `rank`; NULL where that fails."""
     return texts.select(parse_once(F.from_json(column, PAYLOAD)))
 
 
-def flatten_payload(documents: DataFrame) -> DataFrame:
-    """One typed row per record, bound by name. No `rank` key means no rows."""
-    records = documents.select(F.explode("rank").alias("record"))
-    return records.select(
-        *[F.col(f"record.{f.name}").try_cast(f.dataType).alias(f.name) for f in FEED]
+def decode_payload(texts: DataFrame, column: str = "value") -> DataFrame:
+    """One row per record in the feed's columns, with `raw_line` and `reject_reason`.
+
+    A document that is no JSON object, one whose `rank` is no array of objects, and a
+    record with text where a number belongs are marked, each with its own text. No
+    `rank` key, or an empty array, means no rows.
+    """
+    text = F.col(column)
+    body = F.get_json_object(text, "$.rank")
+    listed = F.from_json(body, T.ArrayType(T.StringType()))
+    object_like = F.try_parse_json(text).isNotNull() & F.trim(text).startswith("{")
+    fault = (
+        F.when(~F.coalesce(object_like, F.lit(False)), "broken document")
+        .when(body.isNull(), None)
+        .when(~F.ltrim(body).startswith("[") | listed.isNull(), "rank is no list")
+    )
+    whole = F.array(F.struct(text.alias("raw_line"), fault.alias("fault")))
+    each = F.transform(
+        F.coalesce(listed, F.array().cast("array<string>")),
+        lambda r: F.struct(r.alias("raw_line"), F.lit(None).cast("string").alias("fault")),
+    )
+    rows = texts.where(text.isNotNull()).select(
+        F.inline(F.when(fault.isNotNull(), whole).otherwise(each))
     )
+    cells = rows.select(
+        "raw_line",
+        "fault",
+        parse_once(F.struct(F.from_json("raw_line", _RECORD).alias("record"))),
+    )
+    words = {f.name: F.try_element_at(F.col("record"), F.lit(f.name)) for f in FEED}
+    values = {f.name: typed(words[f.name], f.dataType) for f in FEED}
+    mistyped = reduce(
+        or_,
+        [
+            words[f.name].isNotNull() & values[f.name].isNull()
+            for f in FEED
+            if not isinstance(f.dataType, T.StringType)
+        ],
+    )
+    reason = (
+        F.when(F.col("fault").isNotNull(), F.col("fault"))
+        .when(F.col("record").isNull() | ~F.ltrim("raw_line").startswith("{"), "no record")
+        .when(mistyped, "not a number")
+    )
+    return cells.select(
+        *[values[name].alias(name) for name in FEED.names],
+        "raw_line",
+        reason.alias("reject_reason"),
+    )
+
+
+def flatten_payload(texts: DataFrame, column: str = "value") -> DataFrame:
+    """The records of `decode_payload` that can be read, bound by name."""
+    return accepted(decode_payload(texts, column))

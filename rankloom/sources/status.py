@@ -20,3 +20,19 @@ def decode_status(messages: DataFrame, column: str = "value", encoded: bool = Tr
     if encoded:
         body = F.try_to_binary(body, F.lit("base64")).cast("string")
     return messages.select(parse_once(F.from_json(body, STATUS)))
+
+
+def rejected_status(
+    messages: DataFrame, column: str = "value", encoded: bool = True
+) -> DataFrame:
+    """Messages without a status, as text with the reason."""
+    body = F.col(column)
+    if encoded:
+        body = F.try_to_binary(body, F.lit("base64")).cast("string")
+    reason = (
+        F.when(body.isNull(), "not base64")
+        .when(F.try_parse_json(body).isNull(), "no JSON")
+        .when(F.get_json_object(body, "$.status").isNull(), "no status")
+    )
+    marked = messages.select(F.col(column).alias("raw_line"), reason.alias("reject_reason"))
+    return marked.where(F.col("reject_reason").isNotNull())

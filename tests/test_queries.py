@@ -9,12 +9,13 @@ from comparing import kinds_of_spark, kinds_of_sql, plan_of, rows_of_spark, rows
 
 import __spark_entry__ as entry_point
 from rankloom.catalog.feed import spread
+from rankloom.catalog.oracle import ORACLE
+from rankloom.catalog.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 # Plans that pair all rows with all rows, or hand rows to Python.
 UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "InArrow")
 
-QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -59,6 +60,8 @@ def test_only_a_scan_of_few_splits_is_spread(spark):
 
 
 def test_entry_point(spark):
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLE) <= set(entry_point.oracle_sql())
     df = entry_point.entry(spark)
     assert df.columns[:3] == ["player_id", "country_id", "date_id"]
     assert df.count() > 0
