@@ -136,10 +136,22 @@ SELECT {_TEXT_RATING}, 'not a number'
 FROM feed WHERE trend IS NOT NULL AND "faceImageId" IS NULL""",
     "payload_flatten": _ON_FEED
     + """
-SELECT * FROM feed WHERE trend IS NOT NULL
+SELECT * FROM feed
 UNION ALL
 SELECT * REPLACE (CAST(CAST("lastUpdatedOn" AS DATE) + 1 AS VARCHAR) AS "lastUpdatedOn")
-FROM feed WHERE trend IS NOT NULL""",
+FROM feed""",
+    "payload_rejects": _ON_FEED
+    + """
+SELECT CASE trend WHEN 'Up' THEN 'broken document' ELSE 'not a number' END AS reject_reason,
+       count(*) AS n
+FROM feed WHERE trend IS NOT NULL GROUP BY 1""",
+    "payload_files": _ON_STAR + "SELECT * FROM rankings",
+    "status_rejects": """
+SELECT CASE event_type WHEN 'click' THEN 'not base64' WHEN 'view' THEN 'no JSON'
+       ELSE 'no status' END AS reject_reason, count(*) AS n
+FROM events GROUP BY 1""",
+    "feed_scan_reordered": _ON_FEED
+    + "SELECT * REPLACE (CAST(NULL AS VARCHAR) AS trend) FROM feed",
     "table_preview": _ON_STAR
     + """
 SELECT * FROM rankings
@@ -254,6 +266,21 @@ SELECT id, CAST(rank AS VARCHAR) AS rank, name, country, CAST(rating AS BIGINT)
 FROM feed""",
     "append_sink": _ON_STAR + "SELECT * FROM rankings UNION ALL SELECT * FROM rankings",
     "incremental_load": _ON_STAR + "SELECT * FROM rankings",
+    "stored_star": _ON_STAR
+    + """
+SELECT 'player_dim' AS table_name, concat_ws('|', player_id, first_name, last_name) AS stored
+FROM player_dim
+UNION ALL SELECT 'country_dim', concat_ws('|', country_id, country) FROM country_dim
+UNION ALL SELECT 'date_dim', concat_ws('|', date_id, date, day_of_week, month, year)
+FROM date_dim""",
+    "undated_rows": _ON_STAR
+    + """
+SELECT 'fact' AS became, count(*) AS n
+FROM (SELECT DISTINCT id, "countryId", updated_on, rank, rating, points, difference, trend
+      FROM filled WHERE trend <> 'Up')
+UNION ALL
+SELECT 'no readable date', count(*) FROM filled WHERE trend = 'Up'""",
+    "sql_file": _ON_STAR + "SELECT country_id, country FROM country_dim WHERE country_id >= 10",
     "replace_sink": _ON_MART + "SELECT * FROM analytics",
     "drop_tables": _ON_MART
     + """
@@ -263,6 +290,8 @@ UNION ALL SELECT 'date_dim', count(*), false FROM date_dim
 UNION ALL SELECT 'rankings', count(*), false FROM rankings
 UNION ALL SELECT 'analytics', count(*), false FROM analytics""",
     "arrival_stream": _ON_STAR + "SELECT * FROM rankings",
+    "arrival_stream_bounded": _ON_STAR + "SELECT * FROM rankings",
+    "status_history": _ON_STATUS + "SELECT * FROM messages UNION ALL SELECT * FROM messages",
     "status_refresh": _ON_MART + "SELECT * FROM analytics",
     "latest_status_stream": _ON_STATUS
     + "SELECT * FROM messages ORDER BY timestamp DESC, status DESC LIMIT 1",

@@ -7,7 +7,7 @@ from contextlib import contextmanager
 from functools import reduce, wraps
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom import operators as ops
@@ -117,9 +117,72 @@ def payload_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     later = iso_text(F.date_add(F.col("lastUpdatedOn").cast("date"), 1)).alias("lastUpdatedOn")
     moved = [later if c == "lastUpdatedOn" else row[i] for i, c in enumerate(FEED.names)]
     body = F.to_json(F.struct(F.array(F.struct(*row), F.struct(*moved)).alias("rank")))
-    text = F.when(F.col("trend").isNull(), "{}").otherwise(body)
-    texts = feed(spark, sf_dir).select(text.alias("value"))
-    return sources.flatten_payload(sources.parse_payload(texts))
+    rows = feed(spark, sf_dir)
+    texts = rows.select(body.alias("value")).union(rows.select(F.lit("{}")))
+    return sources.flatten_payload(texts)
+
+
+def _payload_text(**changed: Column) -> Column:
+    """A document with one record, some of its values replaced."""
+    values = [changed.get(c, F.col(c).cast("string")).alias(c) for c in FEED.names]
+    return F.to_json(F.struct(F.array(F.struct(*values)).alias("rank")))
+
+
+def _spoilt_payload() -> Column:
+    """Broken documents, records that hold text for a number, and good ones."""
+    return (
+        F.when(F.col("trend") == "Up", F.concat(F.lit("{broken "), F.col("id")))
+        .when(F.col("trend") == "Down", _payload_text(rating=F.lit("high")))
+        .otherwise(_payload_text())
+    )
+
+
+@query
+def payload_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{fresh_folder(spark, 'payload')}/documents"
+    sinks.write_lines(feed(spark, sf_dir).select(_spoilt_payload().alias("value")), path)
+    texts = sources.read_payload(spark, path, one_per_file=False)
+    decoded = sources.decode_payload(texts)
+    return sources.rejected(decoded).groupBy("reject_reason").agg(F.count("*").alias("n"))
+
+
+@query
+def payload_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payload files land as CSV and load into the star."""
+    folder = fresh_folder(spark, "payload")
+    sinks.write_lines(feed(spark, sf_dir).select(_payload_text().alias("value")), f"{folder}/json")
+    with _warehouse(spark) as store:
+        texts = sources.read_payload(spark, f"{folder}/json", one_per_file=False)
+        plans.land_payload(texts, f"{folder}/landed", store)
+        plans.load_lines(store, sources.read_lines(spark, f"{folder}/landed"))
+        return stage(store.read("rankings"), "result")
+
+
+@query
+def status_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that are no base64, no JSON or have no status, with their text."""
+    kind = F.col("event_type")
+    text = (
+        F.when(kind == "click", F.concat(F.lit("?"), F.col("event_id")))
+        .when(kind == "view", F.base64(F.encode(F.concat(F.lit("{"), F.col("event_id")), "UTF-8")))
+        .otherwise(F.base64(F.encode(F.lit("{}"), "UTF-8")))
+    )
+    messages = table(spark, sf_dir, "events").select(text.alias("value"))
+    rejects = sources.rejected_status(messages)
+    return rejects.groupBy("reject_reason").agg(F.count("*").alias("n"))
+
+
+@query
+def feed_scan_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns in another order, one left out, and whole numbers written as decimals."""
+    names = ["difference", *[n for n in reversed(FEED.names) if n not in ("difference", "trend")]]
+    decimals = {"rank", "rating", "points"}
+    columns = [
+        F.concat(F.col(n), F.lit(".0")).alias(n) if n in decimals else F.col(n) for n in names
+    ]
+    path = f"{fresh_folder(spark, 'reordered')}/feed"
+    feed(spark, sf_dir).select(*columns).write.csv(path, header=True)
+    return sources.read_feed_csv(spark, path)
 
 
 @query
@@ -357,6 +420,56 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         return stage(store.read("rankings"), "result")
 
 
+@query
+def stored_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimensions and the calendar after two loads, as one column of text."""
+    rows = feed(spark, sf_dir)
+    with _warehouse(spark) as store:
+        plans.load_rows(store, rows.where(F.col("lastUpdatedOn") < LOADED_BEFORE))
+        plans.load_rows(store, rows)
+        tables = [
+            store.read(name).select(
+                F.lit(name).alias("table_name"),
+                F.concat_ws("|", *[F.col(c).cast("string") for c in store.read(name).columns]).alias(
+                    "stored"
+                ),
+            )
+            for name in ("player_dim", "country_dim", "date_dim")
+        ]
+        return stage(reduce(DataFrame.unionByName, tables), "result")
+
+
+@query
+def undated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads with unreadable dates in both: what became of every row."""
+    undated = F.when(F.col("trend") == "Up", F.concat(F.lit("on "), F.col("lastUpdatedOn")))
+    rows = feed(spark, sf_dir).withColumn("first", F.col("lastUpdatedOn") < LOADED_BEFORE)
+    rows = rows.withColumn("lastUpdatedOn", F.coalesce(undated, F.col("lastUpdatedOn")))
+    with _warehouse(spark) as store:
+        plans.load_rows(store, rows.where("first").drop("first"))
+        plans.load_rows(store, rows.where("NOT first").drop("first"))
+        facts = store.read("rankings").select(F.lit("fact").alias("became"))
+        rejects = store.read("rejected_lines").select(F.col("reject_reason").alias("became"))
+        found = facts.unionByName(rejects).groupBy("became").agg(F.count("*").alias("n"))
+        return stage(found, "result")
+
+
+@query
+def sql_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file with a bound value and a table name, read where the cluster reads files."""
+    rows = _filled(spark, sf_dir)
+    path = f"{fresh_folder(spark, 'sql')}/query"
+    text = (
+        "SELECT country_id, country FROM IDENTIFIER(:countries) "
+        "WHERE country_id >= :parameter ORDER BY country_id"
+    )
+    sinks.write_lines(spark.range(1).select(F.lit(text).alias("value")), path)
+    with _warehouse(spark) as store:
+        store.append("country_dim", ops.country_dim(rows))
+        args = {"parameter": 10, "countries": store.name("country_dim")}
+        return stage(sinks.run_sql_file(spark, path, args), "result")
+
+
 @query
 def replace_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mart of the earlier part, replaced by the mart of the whole."""
@@ -404,6 +517,31 @@ def arrival_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         return stage(store.read("rankings"), "result")
 
 
+@query
+def arrival_stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days that lie in many files, taken in one file at a time."""
+    folder = fresh_folder(spark, "bounded")
+    rows = feed(spark, sf_dir)
+    with _warehouse(spark) as store:
+        sinks.write_feed_csv(rows.repartition(4, "id"), f"{folder}/landing/run=1")
+        lines = streaming.arriving_lines(spark, f"{folder}/landing", "part-*.csv", 1)
+        streaming.load_arrivals(lines, store, f"{folder}/checkpoint").awaitTermination()
+        return stage(store.read("rankings"), "result")
+
+
+@query
+def status_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message twice, in batches of one file: each is kept as often as it came."""
+    folder = fresh_folder(spark, "history")
+    messages = _messages(spark, sf_dir)
+    sinks.write_lines(messages, f"{folder}/messages/1")
+    sinks.write_lines(messages, f"{folder}/messages/2")
+    arriving = streaming.arriving_status(spark, f"{folder}/messages/*")
+    with _warehouse(spark) as store:
+        streaming.keep_status(arriving, store, f"{folder}/checkpoint").awaitTermination()
+        return stage(store.read("status_log"), "result")
+
+
 @query
 def status_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The star is stored, the messages arrive, a success among them builds the mart."""

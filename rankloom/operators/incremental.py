@@ -9,9 +9,9 @@ from rankloom.operators.dimensions import date_dim
 
 
 def only_new(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """Rows whose date is not in `known`; a missing date counts as a date."""
+    """Rows whose date is not in `known`. A row without a date is always new."""
     loaded = known.select(F.col("date").alias("_loaded"))
-    return rows.join(loaded, F.col("updated_on").eqNullSafe(F.col("_loaded")), "left_anti")
+    return rows.join(loaded, F.col("updated_on") == F.col("_loaded"), "left_anti")
 
 
 def new_dates(rows: DataFrame, known: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """Whole jobs: the star, its incremental load, the mart and its reports."""
 
-from rankloom.plans.load import land_payload, load_lines, load_rows
+from rankloom.plans.load import land_payload, load_lines, load_payload, load_rows
 from rankloom.plans.mart import analytics, analytics_distinct, refresh_analytics
 from rankloom.plans.reports import score_distribution, team_performance, trend_by_month
 from rankloom.plans.star import Star, build_star
@@ -12,6 +12,7 @@ __all__ = [
     "build_star",
     "land_payload",
     "load_lines",
+    "load_payload",
     "load_rows",
     "refresh_analytics",
     "score_distribution",

@@ -5,63 +5,120 @@ a load that breaks off leaves no date marked as loaded. The facts of a load are
 one partition, named by the first date key it gives out. As keys continue from
 the last date marked, the next load gets the same name and replaces what the
 broken one wrote. One writer at a time is assumed.
+
+No row vanishes: one whose date is loaded is left out as the feed's rule has it, and
+one that cannot be read, or has no readable date, is kept in `rejected_lines`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
+from hashlib import sha256
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankloom.functions.text import csv_line
 from rankloom.operators.defaults import fill_defaults
 from rankloom.operators.dimensions import country_dim, date_dim, player_dim
 from rankloom.operators.facts import rankings
 from rankloom.operators.incremental import only_new
+from rankloom.schemas import FEED
 from rankloom.sinks.files import write_feed_csv
 from rankloom.sinks.warehouse import Warehouse
-from rankloom.sources.lines import accepted, decode_lines, rejected
-from rankloom.sources.payload import flatten_payload
+from rankloom.sources.lines import decode_lines, rejected
+from rankloom.sources.payload import decode_payload, flatten_payload
 from rankloom.staging import scratch
 
+UNDATED = "no readable date"
+
+
+def _store_rejects(warehouse: Warehouse, marked: DataFrame, delivery: str | None) -> None:
+    """Keep what cannot be loaded, in a partition that the same load replaces.
+
+    The partition is named by the delivery or else by the rejected rows themselves.
+    """
+    rejects = rejected(marked)
+    found = rejects.agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("raw_line", "reject_reason")).alias("key")
+    ).first()
+    if found.n:
+        key = found.key if delivery is None else load_key(delivery)
+        warehouse.write_load("rejected_lines", rejects, key)
+
+
+def load_key(name: str) -> int:
+    """A partition's number for a name, the same in every process."""
+    return int.from_bytes(sha256(name.encode()).digest()[:7])
+
 
 def _load(
-    warehouse: Warehouse, rows: DataFrame, stage: Callable[[DataFrame, str], DataFrame]
+    warehouse: Warehouse, marked: DataFrame, date_patterns: Sequence[str], delivery: str | None
 ) -> int:
-    """Store new filled rows that are cheap to read again: four tables come from them."""
-    dates = stage(date_dim(rows, warehouse.read("date_dim")), "dates")
-    found = dates.agg(F.count("*").alias("days"), F.min("date_id").alias("first_key")).first()
-    if not found.days:
-        return 0
-    warehouse.append_unseen("player_dim", player_dim(rows))
-    warehouse.append_unseen("country_dim", country_dim(rows))
-    # Sorted inside each file, so that row groups cover few dates.
-    facts = rankings(rows, dates).sortWithinPartitions("date_id")
-    warehouse.write_load("rankings", facts, found.first_key)
-    warehouse.append("date_dim", dates)
-    return found.days
+    """Store rows with `raw_line` and `reject_reason`. New ones are parsed and written once."""
+    rows = fill_defaults(marked, date_patterns)
+    undated = F.col("reject_reason").isNull() & F.col("updated_on").isNull()
+    reason = F.when(undated, UNDATED).otherwise(F.col("reject_reason"))
+    rows = rows.withColumn("reject_reason", reason).withColumns(
+        {
+            "updated_on": F.when(reason.isNull(), F.col("updated_on")),
+            "raw_line": F.when(reason.isNotNull(), F.col("raw_line")),
+        }
+    )
+    with scratch(warehouse.spark) as stage:
+        fresh = stage(only_new(rows, warehouse.read("date_dim")), "rows")
+        _store_rejects(warehouse, fresh, delivery)
+        good = fresh.where("reject_reason IS NULL")
+        dates = stage(date_dim(good, warehouse.read("date_dim")), "dates")
+        found = dates.agg(F.count("*").alias("days"), F.min("date_id").alias("first_key")).first()
+        if not found.days:
+            return 0
+        warehouse.append_unseen("player_dim", player_dim(good))
+        warehouse.append_unseen("country_dim", country_dim(good))
+        # Sorted inside each file, so that row groups cover few dates.
+        facts = rankings(good, dates).sortWithinPartitions("date_id")
+        warehouse.write_load("rankings", facts, found.first_key)
+        warehouse.append("date_dim", dates)
+        return found.days
 
 
-def _new_rows(warehouse: Warehouse, rows: DataFrame, date_patterns: Sequence[str]) -> DataFrame:
-    return only_new(fill_defaults(rows, date_patterns), warehouse.read("date_dim"))
+def load_rows(
+    warehouse: Warehouse,
+    rows: DataFrame,
+    date_patterns: Sequence[str] = (),
+    delivery: str | None = None,
+) -> int:
+    """Load typed feed rows; returns how many dates were new."""
+    marked = rows.select(
+        *FEED.names,
+        csv_line(*FEED.names).alias("raw_line"),
+        F.lit(None).cast("string").alias("reject_reason"),
+    )
+    return _load(warehouse, marked, date_patterns, delivery)
 
 
-def load_rows(warehouse: Warehouse, rows: DataFrame, date_patterns: Sequence[str] = ()) -> int:
-    """Load typed feed rows; returns how many dates were new."""
-    with scratch(warehouse.spark) as stage:
-        return _load(warehouse, stage(_new_rows(warehouse, rows, date_patterns), "rows"), stage)
+def load_lines(
+    warehouse: Warehouse,
+    lines: DataFrame,
+    date_patterns: Sequence[str] = (),
+    delivery: str | None = None,
+) -> int:
+    """Load feed lines; those that cannot be read, or have no date, go to `rejected_lines`."""
+    return _load(warehouse, decode_lines(lines), date_patterns, delivery)
 
 
-def load_lines(warehouse: Warehouse, lines: DataFrame, date_patterns: Sequence[str] = ()) -> int:
-    """Load feed lines. They are parsed once; undecodable ones go to `rejected_lines`."""
-    spoilt = F.col("reject_reason").isNotNull()
-    decoded = decode_lines(lines).withColumn("raw_line", F.when(spoilt, F.col("raw_line")))
-    with scratch(warehouse.spark) as stage:
-        decoded = stage(decoded, "lines")
-        warehouse.append_unseen("rejected_lines", rejected(decoded))
-        return _load(warehouse, _new_rows(warehouse, accepted(decoded), date_patterns), stage)
+def load_payload(
+    warehouse: Warehouse,
+    texts: DataFrame,
+    date_patterns: Sequence[str] = (),
+    delivery: str | None = None,
+) -> int:
+    """Load payload documents without landing them; broken ones go to `rejected_lines`."""
+    return _load(warehouse, decode_payload(texts), date_patterns, delivery)
 
 
-def land_payload(documents: DataFrame, path: str) -> None:
-    """The records of payload documents as landing CSV."""
-    write_feed_csv(flatten_payload(documents), path)
+def land_payload(texts: DataFrame, path: str, rejects: Warehouse | None = None) -> None:
+    """The records of payload documents as landing CSV; others into the quarantine of `rejects`."""
+    write_feed_csv(flatten_payload(texts), path)
+    if rejects:
+        _store_rejects(rejects, decode_payload(texts), path)

@@ -97,19 +97,23 @@ ANALYTICS = _struct(
     year=_int,
 )
 REJECTED_LINES = _struct(raw_line=_text, reject_reason=_text)
+# Deliveries seen, and again once loaded.
+DELIVERIES = _struct(delivery=_text, file_name=_text, loaded=T.BooleanType())
 STATUS = _struct(status=_text, timestamp=_double)
 
-# Tables a warehouse holds. The facts are stored by load, in a partition column
-# besides the contract: the first date key the load gave out.
+# Tables a warehouse holds. Some are stored by load, in a partition column besides
+# the contract: the facts by the first date key the load gave out, rejected lines
+# and status messages by a number for what brought them.
 TABLES = {
     "player_dim": (PLAYER_DIM, None),
     "country_dim": (COUNTRY_DIM, None),
     "date_dim": (DATE_DIM, None),
     "rankings": (RANKINGS, "first_date_id"),
     "analytics": (ANALYTICS, None),
-    "status_log": (STATUS, None),
+    "status_log": (STATUS, "batch_key"),
     "raw_landing": (RAW_LANDING, None),
-    "rejected_lines": (REJECTED_LINES, None),
+    "rejected_lines": (REJECTED_LINES, "load_key"),
+    "deliveries": (DELIVERIES, None),
 }
 
 # Defaults for the only three columns that are filled.

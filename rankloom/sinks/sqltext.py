@@ -6,6 +6,8 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rankloom.staging import read_whole
+
 
 def run_sql(
     spark: SparkSession, text: str, args: dict[str, Any] | None = None, **frames: DataFrame
@@ -22,5 +24,5 @@ def run_sql(
 def run_sql_file(
     spark: SparkSession, path: str, args: dict[str, Any] | None = None, **frames: DataFrame
 ) -> DataFrame:
-    with open(path, encoding="utf-8") as file:
-        return run_sql(spark, file.read(), args, **frames)
+    """`run_sql` of a file, from any store Spark reaches."""
+    return run_sql(spark, read_whole(spark, path), args, **frames)

@@ -37,7 +37,8 @@ class Warehouse:
     def __init__(self, spark: SparkSession, database: str, location: str | None = None) -> None:
         self.spark = spark
         self.database = database
-        place = f" LOCATION '{location}'" if location else ""
+        quoted = (location or "").replace("\\", "\\\\").replace("'", "\\'")
+        place = f" LOCATION '{quoted}'" if location else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{place}")
 
     def on(self, spark: SparkSession) -> Warehouse:

@@ -4,7 +4,8 @@ from rankloom.sources.lines import accepted, decode_csv, decode_lines, read_feed
 from rankloom.sources.lines import rejected
 from rankloom.sources.lines import without_headers
 from rankloom.sources.payload import decode_payload, flatten_payload, parse_payload, read_payload
-from rankloom.sources.status import decode_status, encode_status, rejected_status
+from rankloom.sources.status import decode_status, encode_status, mark_status
+from rankloom.sources.status import rejected_status
 
 __all__ = [
     "accepted",
@@ -14,6 +15,7 @@ __all__ = [
     "decode_status",
     "encode_status",
     "flatten_payload",
+    "mark_status",
     "parse_payload",
     "read_feed_csv",
     "read_lines",

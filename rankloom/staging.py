@@ -36,6 +36,16 @@ def _filesystem(spark: SparkSession, path: str) -> tuple:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def file_exists(spark: SparkSession, path: str) -> bool:
+    filesystem, hadoop_path = _filesystem(spark, path)
+    return filesystem.exists(hadoop_path)
+
+
+def read_whole(spark: SparkSession, path: str) -> str:
+    """A small text file, from any store Spark reaches."""
+    return spark.read.text(path, wholetext=True).first().value
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A path of its own for this use, dropped when the driver's JVM ends."""
     path = f"{shared_root(spark)}/{label}-{uuid4().hex}"

@@ -1,41 +1,91 @@
-"""One load per batch of newly landed files.
+"""Loads of deliveries whose files arrive in a landing folder.
 
-A file is taken in once, by its path: a feed that keeps one file name must land
-each delivery in a folder of its own (`run=2024-12-27/rankings.csv`).
+A delivery is a folder of files, and complete once its marker file is there. It is
+loaded as a whole, whatever part of it a micro-batch lists: batches only say which
+deliveries there are, so a bound on their files changes the work and never the result.
+A feed that keeps one file name must land each delivery in a folder of its own
+(`run=2024-12-27/rankings.csv`). Files that come after the marker are no part of it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from rankloom.plans.load import load_lines
+from rankloom.schemas import DELIVERIES
 from rankloom.sinks.warehouse import Warehouse
+from rankloom.staging import file_exists
+
+# Fixed value: the file that Spark writes last.
+MARKER = "_SUCCESS"
 
 
 def arriving_lines(
     spark: SparkSession, folder: str, file_name: str, files_per_batch: int | None = None
 ) -> DataFrame:
-    """Lines of the files under `folder` called `file_name` (a glob); others are ignored."""
+    """Lines of the files under `folder` called `file_name` (a glob), with their delivery."""
     reader = spark.readStream.format("text").option("pathGlobFilter", file_name)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.option("recursiveFileLookup", True).load(folder)
+    place = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    return reader.option("recursiveFileLookup", True).load(folder).select(
+        "value", place.alias("delivery"), F.lit(file_name).alias("file_name")
+    )
+
+
+def _waiting(warehouse: Warehouse, seen: Iterable[tuple[str, str]] = ()) -> list[tuple[str, str]]:
+    """Deliveries seen, now or before, that are not loaded yet, in order of their names."""
+    ledger = warehouse.read("deliveries").groupBy("delivery", "file_name")
+    known = {(r[0], r[1]): r[2] for r in ledger.agg(F.max("loaded")).collect()}
+    new = [d for d in set(seen) if d not in known]
+    _note(warehouse, new, False)
+    return sorted([d for d, loaded in known.items() if not loaded] + new)
+
+
+def _note(warehouse: Warehouse, deliveries: list[tuple[str, str]], loaded: bool) -> None:
+    if deliveries:
+        rows = [(*delivery, loaded) for delivery in deliveries]
+        warehouse.append("deliveries", warehouse.spark.createDataFrame(rows, DELIVERIES))
+
+
+def _load_complete(
+    warehouse: Warehouse,
+    waiting: list[tuple[str, str]],
+    date_patterns: Sequence[str],
+    marker: str | None,
+) -> None:
+    spark = warehouse.spark
+    for folder, file_name in waiting:
+        if marker is None or file_exists(spark, f"{folder}/{marker}"):
+            lines = spark.read.option("pathGlobFilter", file_name).text(folder)
+            load_lines(warehouse, lines.select("value"), date_patterns, folder)
+            _note(warehouse, [(folder, file_name)], True)
 
 
 def load_arrivals(
-    lines: DataFrame, warehouse: Warehouse, checkpoint: str, date_patterns: Sequence[str] = ()
+    lines: DataFrame,
+    warehouse: Warehouse,
+    checkpoint: str,
+    date_patterns: Sequence[str] = (),
+    marker: str | None = MARKER,
 ) -> StreamingQuery:
-    """Load what has arrived since the last run, then stop.
+    """Load the deliveries that are complete and not loaded yet, then stop.
 
-    A batch that is replayed after a failure finds its dates loaded or writes
-    the same partitions again, so it changes nothing.
+    Those still being written wait for a later run. A delivery taken up again after a
+    failure finds its dates loaded or writes the same partitions again. The
+    ledger has a row or two a delivery, which the driver reads. `marker=None` takes
+    every folder for complete.
     """
+    _load_complete(warehouse, _waiting(warehouse), date_patterns, marker)
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        load_lines(warehouse.on(batch.sparkSession), batch.select("value"), date_patterns)
+        store = warehouse.on(batch.sparkSession)
+        seen = batch.select("delivery", "file_name").distinct().collect()
+        _load_complete(store, _waiting(store, map(tuple, seen)), date_patterns, marker)
 
     return (
         lines.writeStream.foreachBatch(load)

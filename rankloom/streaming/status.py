@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from rankloom.plans.load import load_key
 from rankloom.plans.mart import refresh_analytics
+from rankloom.schemas import REJECTED_LINES, STATUS
 from rankloom.sinks.warehouse import Warehouse
-from rankloom.sources.status import decode_status
+from rankloom.sources.status import mark_status
 from rankloom.staging import scratch
 
 # Fixed value: the status that lets the mart be rebuilt.
@@ -16,8 +18,8 @@ SUCCESS = "success"
 
 
 def arriving_status(spark: SparkSession, folder: str, encoded: bool = True) -> DataFrame:
-    """Messages landed as text, one per line."""
-    return decode_status(spark.readStream.format("text").load(folder), encoded=encoded)
+    """Messages landed as text, one per line, those without a status marked."""
+    return mark_status(spark.readStream.format("text").load(folder), encoded=encoded)
 
 
 def successes(messages: DataFrame) -> DataFrame:
@@ -30,20 +32,34 @@ def latest_status(history: DataFrame) -> DataFrame:
     return history.orderBy(*newest).limit(1)
 
 
+def keep_status(messages: DataFrame, warehouse: Warehouse, checkpoint: str) -> StreamingQuery:
+    """Keep every message, by batch, and nothing else."""
+    return refresh_on_success(messages, warehouse, checkpoint, refresh=False)
+
+
 def refresh_on_success(
-    messages: DataFrame, warehouse: Warehouse, checkpoint: str, by_latest: bool = False
+    messages: DataFrame,
+    warehouse: Warehouse,
+    checkpoint: str,
+    by_latest: bool = False,
+    refresh: bool = True,
 ) -> StreamingQuery:
-    """Keep the messages and rebuild the mart once per batch that calls for it.
+    """Keep every message, by batch, and rebuild the mart once per batch that calls for it.
 
     A batch calls for it when it holds a success or, `by_latest`, when the
-    newest message ever kept is one.
+    newest message ever kept is one. A batch that is replayed replaces what it wrote.
     """
 
-    def handle(batch: DataFrame, _batch_id: int) -> None:
+    def handle(batch: DataFrame, batch_id: int) -> None:
         store = warehouse.on(batch.sparkSession)
+        key = load_key(f"{checkpoint} {batch_id}")
         with scratch(batch.sparkSession) as stage:
             batch = stage(batch, "messages")
-            store.append_unseen("status_log", batch)
+            store.write_load("status_log", batch.select(*STATUS.names), key)
+            rejects = batch.where("reject_reason IS NOT NULL")
+            store.write_load("rejected_lines", rejects.select(*REJECTED_LINES.names), key)
+            if not refresh:
+                return
             decisive = latest_status(store.read("status_log")) if by_latest else batch
             if not successes(decisive).isEmpty():
                 refresh_analytics(store)
@@ -58,5 +74,6 @@ def refresh_on_success(
 
 def track_latest_status(messages: DataFrame) -> DataFrame:
     """Streaming aggregate with the newest message as its only row and state."""
+    messages = messages.select(*STATUS.names)
     newest = F.max_by("status", F.struct("timestamp", "status")).alias("status")
     return messages.agg(newest, F.max("timestamp").alias("timestamp"))

@@ -17,6 +17,7 @@ FILE = "rankings.csv"
 def land(folder, run, text, name=FILE):
     (folder / f"run={run}").mkdir(parents=True, exist_ok=True)
     (folder / f"run={run}" / name).write_text(text)
+    (folder / f"run={run}" / "_SUCCESS").touch()
 
 
 def arrive(spark, warehouse, tmp_path, files_per_batch=None):
