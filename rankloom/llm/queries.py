@@ -1,4 +1,4 @@
-"""The operators' queries over whole tables, and the SQL that states some of them."""
+"""The operators' queries over whole tables."""
 
 from __future__ import annotations
 
@@ -44,7 +44,9 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.apply_rules(table(spark, sf_dir, "documents"))
+    judged = quality_rules.apply_rules(table(spark, sf_dir, "documents"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *counts, "base_failed", "kept")
 
 
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +68,7 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    return decontamination.report(docs, items)
+    return decontamination.report(docs, items).drop("spans")
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,5 +91,3 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_warc_archives": op10_warc_archives,
 }
-
-ORACLE: dict[str, str] = {}
