@@ -39,21 +39,26 @@ def analytics(star: Star) -> DataFrame:
     )
     best = best_per_group(known, ["player_id", "date_id"], order)
     return (
-        best.join(_first_of_each(star.date_dim, "date_id"), "date_id")
+        best.join(_first_of_each(star.player_dim, "player_id"), "player_id")
+        .join(_first_of_each(star.date_dim, "date_id"), "date_id")
         .join(_first_of_each(star.country_dim, "country_id"), "country_id")
-        .join(_first_of_each(star.player_dim, "player_id"), "player_id")
         .select(*ANALYTICS.names)
     )
 
 
 def analytics_distinct(star: Star) -> DataFrame:
-    """Every distinct joined row."""
+    """Every distinct joined row.
+
+    Dimensions hold distinct rows, and the mart has all columns of all four tables, so
+    distinct facts join to distinct rows. Duplicates go while rows are narrow, and
+    the largest dimension is joined first.
+    """
     return (
-        star.rankings.join(star.country_dim, "country_id")
-        .join(star.date_dim, "date_id")
+        star.rankings.distinct()
         .join(star.player_dim, "player_id")
+        .join(star.country_dim, "country_id")
+        .join(star.date_dim, "date_id")
         .select(*ANALYTICS.names)
-        .distinct()
     )
 
 

@@ -17,9 +17,11 @@ RUNTIME = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session that already exists."""
+    """Apply the runtime settings that the session has not set itself."""
+    given = spark.conf.getAll
     for key, value in RUNTIME.items():
-        spark.conf.set(key, value)
+        if key not in given:
+            spark.conf.set(key, value)
     return spark
 
 

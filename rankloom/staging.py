@@ -23,7 +23,7 @@ def shared_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = spark.conf.get(_CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder every executor can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="rankloom-"))
         root = context.getCheckpointDir()
