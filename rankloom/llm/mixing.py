@@ -23,6 +23,8 @@ share one stream. Equal rows stand side by side. Other columns are passed on.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -62,7 +64,9 @@ def _in_slots(weights: DataFrame, slots: int) -> DataFrame:
     n = F.count("*").over(everything)
     total = F.sum("weight").over(everything)
     exact = (slots - n) * F.when(total > 0, F.col("weight") / total).otherwise(1 / n)
-    floors = weights.select("stream", exact.alias("_exact"), F.floor(exact).alias("_floor"), n.alias("_n"))
+    floors = weights.select(
+        "stream", exact.alias("_exact"), F.floor(exact).alias("_floor"), n.alias("_n")
+    )
     left = slots - F.col("_n") - F.sum("_floor").over(everything)
     by_rest = W.orderBy(F.desc(F.col("_exact") - F.col("_floor")), "stream")
     extra = (F.row_number().over(by_rest) <= left).cast("int")
@@ -116,13 +120,24 @@ def schedule(weights: DataFrame, slots: int = SLOTS) -> DataFrame:
     )
 
 
-def _placed(docs: DataFrame, targets: DataFrame | None, block: int, slots: int) -> DataFrame:
-    """Every row whole in `_row`, with its block, slot and whether the mix has it."""
-    rows = docs.select(F.struct("*").alias("_row")).select(
-        "_row",
-        _source("_row.source").alias("_source"),
-        F.coalesce(F.length("_row.text"), F.lit(0)).cast("long").alias("_size"),
-        _order("_row").alias("_hash"),
+def _slot_of(block: Column, slots: int) -> Column:
+    """The slot of a block, beside its stream's `c` and `turns`."""
+    c = F.col("c")
+    return (block - block % c) / c * slots + F.get("turns", (block % c).cast("int"))
+
+
+def _placed(
+    docs: DataFrame, targets: DataFrame | None, block: int, slots: int, carried: Sequence[str]
+) -> DataFrame:
+    """The carried columns in `_row`, with each row's block, slot and whether the mix has it.
+
+    A text that is not carried is measured where it is read and not shuffled.
+    """
+    rows = docs.select(F.struct("*").alias("_all")).select(
+        F.struct(*[F.col(f"_all.`{name}`") for name in carried]).alias("_row"),
+        _source("_all.source").alias("_source"),
+        F.coalesce(F.length("_all.text"), F.lit(0)).cast("long").alias("_size"),
+        _order("_all").alias("_hash"),
     )
     chunk = F.shiftright("_hash", HASH_BITS - CHUNK_BITS)
     rows = rows.withColumn("_chunk", chunk)
@@ -151,7 +166,7 @@ def _placed(docs: DataFrame, targets: DataFrame | None, block: int, slots: int)
     turns = schedule(weights, slots)
     blocks = F.greatest(F.ceil(F.col("size") / block), F.lit(1))
     last = blocks - 1
-    ends = (last - last % F.col("c")) / F.col("c") * slots + F.get("turns", (last % F.col("c")).cast("int")) + 1
+    ends = _slot_of(last, slots) + 1
     share = F.col("size") * slots <= F.col("c") * F.sum("size").over(W.partitionBy())
     plan = sizes.join(turns, "stream").withColumn("_end", F.when(share, ends))
     plan = plan.select(
@@ -165,9 +180,7 @@ def _placed(docs: DataFrame, targets: DataFrame | None, block: int, slots: int)
     running = F.sum("_size").over(run.rowsBetween(W.unboundedPreceding, W.currentRow))
     start = F.col("_before") + running - F.col("_size")
     placed = started.withColumn("_block", F.floor(start / block)).join(plan, "stream")
-    b, c = F.col("_block"), F.col("c")
-    turn = F.get("turns", (b % c).cast("int"))
-    placed = placed.withColumn("_slot", ((b - b % c) / c * slots + turn).cast("long"))
+    placed = placed.withColumn("_slot", _slot_of(F.col("_block"), slots).cast("long"))
     return placed.withColumn("_in_mix", F.col("_slot") < F.col("_until"))
 
 
@@ -184,7 +197,7 @@ def mix(
     mix, and a source that is used up leaves its later slots empty.
     """
     b, c = F.col("_block"), F.col("c")
-    return _placed(docs, targets, block, slots).select(
+    return _placed(docs, targets, block, slots, ("doc_id", "source")).select(
         "_row.doc_id",
         "_row.source",
         b.alias("block"),
@@ -197,4 +210,5 @@ def mix(
 
 def keep_mix(docs: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     """The rows of the mix, with the columns they came with."""
-    return _placed(docs, targets, BLOCK_CHARS, SLOTS).where("_in_mix").select("_row.*")
+    placed = _placed(docs, targets, BLOCK_CHARS, SLOTS, docs.columns)
+    return placed.where("_in_mix").select("_row.*")
