@@ -296,3 +296,4 @@ UNION ALL SELECT 'analytics', count(*), false FROM analytics""",
     "latest_status_stream": _ON_STATUS
     + "SELECT * FROM messages ORDER BY timestamp DESC, status DESC LIMIT 1",
 }
+ORACLE["incremental_datetime"] = ORACLE["datetime_fact"]

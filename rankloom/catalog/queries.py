@@ -297,12 +297,15 @@ def rankings_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.rankings(rows, stage(ops.date_dim(rows), "dates"))
 
 
+def _timed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    timed = F.concat_ws(" ", "lastUpdatedOn", F.format_string("%02d:00:00", "rank"))
+    return feed(spark, sf_dir).withColumn("lastUpdatedOn", timed)
+
+
 @query
 def datetime_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The star stamped by time: each row at an hour of its own rank."""
-    timed = F.concat_ws(" ", "lastUpdatedOn", F.format_string("%02d:00:00", "rank"))
-    rows = feed(spark, sf_dir).withColumn("lastUpdatedOn", timed)
-    rows = stage(ops.fill_defaults(rows, keep_time=True), "rows")
+    rows = stage(ops.fill_defaults(_timed_feed(spark, sf_dir), keep_time=True), "rows")
     return ops.rankings(rows, stage(ops.datetime_dim(rows, "updated_on"), "dates"))
 
 
@@ -420,6 +423,16 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         return stage(store.read("rankings"), "result")
 
 
+@query
+def incremental_datetime(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`incremental_load` of the star stamped by time."""
+    rows = _timed_feed(spark, sf_dir)
+    with _warehouse(spark) as store:
+        plans.load_rows(store, rows.where(F.col("lastUpdatedOn") < LOADED_BEFORE), timed=True)
+        plans.load_rows(store, rows, timed=True)
+        return stage(store.read("rankings"), "result")
+
+
 @query
 def stored_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dimensions and the calendar after two loads, as one column of text."""

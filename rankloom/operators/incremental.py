@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.operators.dimensions import date_dim
+from rankloom.operators.dimensions import date_dim, datetime_dim
 
 
 def only_new(rows: DataFrame, known: DataFrame) -> DataFrame:
@@ -17,3 +17,10 @@ def only_new(rows: DataFrame, known: DataFrame) -> DataFrame:
 def new_dates(rows: DataFrame, known: DataFrame) -> DataFrame:
     """Calendar rows for the dates not in `known`, numbered after them."""
     return date_dim(only_new(rows.select("updated_on").distinct(), known), known)
+
+
+def new_datetimes(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Calendar rows for the timestamps not in `known`, numbered after them."""
+    last = known.agg(F.max("date_id").alias("id")).first().id or 0
+    stamps = only_new(rows.select("updated_on").distinct(), known)
+    return datetime_dim(stamps, "updated_on", last)

@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 
 from rankloom.functions.text import csv_line
 from rankloom.operators.defaults import fill_defaults
-from rankloom.operators.dimensions import country_dim, date_dim, player_dim
+from rankloom.operators.dimensions import country_dim, player_dim
 from rankloom.operators.facts import rankings
-from rankloom.operators.incremental import only_new
+from rankloom.operators.incremental import new_dates, new_datetimes, only_new
 from rankloom.schemas import FEED
 from rankloom.sinks.files import write_feed_csv
 from rankloom.sinks.warehouse import Warehouse
@@ -53,10 +53,16 @@ def load_key(name: str) -> int:
 
 
 def _load(
-    warehouse: Warehouse, marked: DataFrame, date_patterns: Sequence[str], delivery: str | None
+    warehouse: Warehouse,
+    marked: DataFrame,
+    date_patterns: Sequence[str],
+    delivery: str | None,
+    timed: bool = False,
 ) -> int:
     """Store rows with `raw_line` and `reject_reason`. New ones are parsed and written once."""
-    rows = fill_defaults(marked, date_patterns)
+    calendar, new = ("datetime_dim", new_datetimes) if timed else ("date_dim", new_dates)
+    known = warehouse.read(calendar)
+    rows = fill_defaults(marked, date_patterns, keep_time=timed)
     undated = F.col("reject_reason").isNull() & F.col("updated_on").isNull()
     reason = F.when(undated, UNDATED).otherwise(F.col("reject_reason"))
     rows = rows.withColumn("reject_reason", reason).withColumns(
@@ -66,10 +72,10 @@ def _load(
         }
     )
     with scratch(warehouse.spark) as stage:
-        fresh = stage(only_new(rows, warehouse.read("date_dim")), "rows")
+        fresh = stage(only_new(rows, known), "rows")
         _store_rejects(warehouse, fresh, delivery)
         good = fresh.where("reject_reason IS NULL")
-        dates = stage(date_dim(good, warehouse.read("date_dim")), "dates")
+        dates = stage(new(good, known), "dates")
         found = dates.agg(F.count("*").alias("days"), F.min("date_id").alias("first_key")).first()
         if not found.days:
             return 0
@@ -78,7 +84,7 @@ def _load(
         # Sorted inside each file, so that row groups cover few dates.
         facts = rankings(good, dates).sortWithinPartitions("date_id")
         warehouse.write_load("rankings", facts, found.first_key)
-        warehouse.append("date_dim", dates)
+        warehouse.append(calendar, dates)
         return found.days
 
 
@@ -87,14 +93,18 @@ def load_rows(
     rows: DataFrame,
     date_patterns: Sequence[str] = (),
     delivery: str | None = None,
+    timed: bool = False,
 ) -> int:
-    """Load typed feed rows; returns how many dates were new."""
+    """Load typed feed rows; returns how many dates were new.
+
+    `timed` keeps the time of day: the calendar is `datetime_dim`, one row a timestamp.
+    """
     marked = rows.select(
         *FEED.names,
         csv_line(*FEED.names).alias("raw_line"),
         F.lit(None).cast("string").alias("reject_reason"),
     )
-    return _load(warehouse, marked, date_patterns, delivery)
+    return _load(warehouse, marked, date_patterns, delivery, timed)
 
 
 def load_lines(

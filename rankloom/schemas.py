@@ -108,6 +108,7 @@ TABLES = {
     "player_dim": (PLAYER_DIM, None),
     "country_dim": (COUNTRY_DIM, None),
     "date_dim": (DATE_DIM, None),
+    "datetime_dim": (DATETIME_DIM, None),
     "rankings": (RANKINGS, "first_date_id"),
     "analytics": (ANALYTICS, None),
     "status_log": (STATUS, "batch_key"),
