@@ -381,6 +381,13 @@ def test_toxicity_on_held_out_rows(spark):
     assert auc > 0.85
 
 
+def test_a_repeated_id_is_one_training_row(spark, docs_of):
+    docs = docs_of((2, "b"), (2, "a"), (3, "c"), (2, None))
+    labels = spark.createDataFrame([(2, 1), (2, 1), (3, 0)], "doc_id long, toxic int")
+    ids = [r.doc_id for r in toxicity._sample(docs, labels).collect()]
+    assert sorted(ids) == [i for i in (2, 3) if zlib.crc32(str(i).encode()) % 5]
+
+
 def test_toxicity_of_odd_rows(spark, docs_of):
     docs = docs_of((1, None), (2, ""), (None, "you idiot"), (2, ""), (3, "é " * 30000))
     none = spark.createDataFrame([], "doc_id long, toxic int")
