@@ -240,11 +240,11 @@ FROM analytics GROUP BY year, month, trend""",
     "column_profile": _ON_FEED
     + """
 SELECT 0 AS position, 'id' AS column_name, 'bigint' AS dtype, count(id) AS filled FROM feed
-UNION ALL SELECT 1, 'rank', 'int', count(rank) FROM feed
+UNION ALL SELECT 1, 'rank', 'bigint', count(rank) FROM feed
 UNION ALL SELECT 2, 'name', 'string', count(name) FROM feed
 UNION ALL SELECT 3, 'country', 'string', count(country) FROM feed
-UNION ALL SELECT 4, 'rating', 'int', count(rating) FROM feed
-UNION ALL SELECT 5, 'points', 'int', count(points) FROM feed
+UNION ALL SELECT 4, 'rating', 'bigint', count(rating) FROM feed
+UNION ALL SELECT 5, 'points', 'bigint', count(points) FROM feed
 UNION ALL SELECT 6, 'lastUpdatedOn', 'string', count("lastUpdatedOn") FROM feed
 UNION ALL SELECT 7, 'trend', 'string', count(trend) FROM feed
 UNION ALL SELECT 8, 'faceImageId', 'string', count("faceImageId") FROM feed
