@@ -365,6 +365,22 @@ def test_the_mix_cuts_what_is_over_its_target(spark, docs_of):
     assert abs(share - 0.5) < 0.02
 
 
+def test_every_source_has_its_own_weight(spark, docs_of):
+    docs = docs_of(*[(i, "x" * 100, f"s{i % 400}") for i in range(800)])
+    got = mixing.mix(docs, block=100, slots=50).collect()
+    assert all(r.in_mix for r in got)
+    assert len({r.slot for r in got}) == 800
+    assert all(r.release_slot <= r.slot < r.deadline_slot for r in got)
+    first = {r.source for r in got if r.slot < 400}
+    assert len(first) > 300
+    targets = spark.createDataFrame([("s7", 1.0), ("s8", 3.0)], "source string, weight double")
+    rows = [(i, "x" * 100, f"s{i % 400}") for i in range(4000)]
+    rows += [(i, "x" * 100, "s8") for i in range(4000, 4050)]
+    got = mixing.mix(docs_of(*rows), targets, block=100, slots=50).collect()
+    mixed = Counter(r.source for r in got if r.in_mix)
+    assert mixed == {"s7": 10, "s8": 30}
+
+
 # --- toxicity ----------------------------------------------------------------
 
 
