@@ -2,7 +2,7 @@
 
 Words are runs of letters, digits and characters beyond ASCII, A-Z lower-cased.
 A rule is a regular expression over words parted by single blanks, with a
-keyword, a priority and a confidence. Only texts that hold a gate word are
+priority, a confidence and a keyword, with which a word begins in all it matches. Only texts that hold a gate word are
 normalised, and of the rules only those whose keyword the text holds are run.
 Detections inside a longer one are suppressed, and of two in the same place the
 one of higher priority stays. All of it is one projection: no row is exploded or
@@ -53,13 +53,16 @@ class Family(NamedTuple):
 
 FAMILIES = (
     Family("apache", "apache", "apache(?: software)?", ("1.0", "1.1", "2.0")),
-    Family("mit", "licen", "(?:mit|expat)"),
-    Family("mit-0", "licen", "mit (?:no attribution|0)"),
-    Family("bsd-2-clause", "bsd", "(?:simplified bsd|bsd 2 clause|2 clause bsd|freebsd)"),
+    Family("mit", "mit", "mit"),
+    Family("mit", "expat", "expat"),
+    Family("mit-0", "mit", "mit (?:no attribution|0)"),
+    Family("bsd-2-clause", "bsd", "(?:simplified bsd|bsd 2 clause|2 clause bsd)"),
+    Family("bsd-2-clause", "freebsd", "freebsd"),
     Family("bsd-3-clause", "bsd", "(?:(?:new|modified|revised) bsd|bsd 3 clause|3 clause bsd)"),
     Family("bsd-4-clause", "bsd", "(?:original bsd|bsd 4 clause|4 clause bsd)"),
     Family("bsd", "bsd", "bsd"),
-    Family("0bsd", "bsd", "(?:zero clause bsd|0bsd|bsd zero clause)"),
+    Family("0bsd", "bsd", "(?:zero clause bsd|bsd zero clause)"),
+    Family("0bsd", "0bsd", "0bsd"),
     Family("gpl", "general public", "(?:gnu )?general public", ("1.0", "2.0", "3.0")),
     Family("gpl", "gpl", "(?:gnu )?gpl", ("1.0", "2.0", "3.0")),
     Family("lgpl", "lesser", "(?:gnu )?lesser general public", ("2.1", "3.0")),

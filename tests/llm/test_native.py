@@ -122,6 +122,45 @@ def test_license_detections_do_not_lie_in_each_other(docs_of):
     assert len(license_scan.RULES) > 400
 
 
+def alternatives(parsed):
+    """All strings of a rule's pattern; of a class of characters the first."""
+    found = [""]
+    for kind, value in parsed:
+        kind = str(kind)
+        if kind == "LITERAL":
+            own = [chr(value)]
+        elif kind == "IN":
+            own = [chr(v[0] if str(k) == "RANGE" else v) for k, v in value[:1]]
+        elif kind == "SUBPATTERN":
+            own = alternatives(value[-1])
+        elif kind == "BRANCH":
+            own = [x for branch in value[1] for x in alternatives(branch)]
+        else:
+            assert kind == "MAX_REPEAT"
+            own = [x * n for n in {value[0], value[1]} for x in alternatives(value[2])]
+        found = [a + b for a in found for b in own]
+    return found
+
+
+def test_what_a_license_rule_matches_passes_its_gate():
+    gate = re.compile(license_scan._gate(license_scan.RULES))
+    for rule in license_scan.RULES:
+        for text in alternatives(re._parser.parse(rule.pattern)):
+            assert f" {rule.keyword}" in f" {text} ", (rule, text)
+            assert gate.search(text)
+
+
+def test_licenses_without_the_word(docs_of):
+    texts = {
+        "mit": "Released under the MIT.",
+        "mit-0": "available under MIT-0.",
+        "0bsd": "SPDX-License-Identifier: 0BSD",
+        "bsd-2-clause": "the FreeBSD License",
+    }
+    rows = license_scan.scan(docs_of(*enumerate(texts.values()))).collect()
+    assert [r.labels for r in sorted(rows, key=lambda r: r.doc_id)] == list(texts)
+
+
 SECRETS = [
     None,
     "",
