@@ -27,7 +27,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which benchmark items cover less than a twentieth."""
+    """Documents of which benchmark items cover less than a twentieth, without what they cover."""
     return decontamination.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 

@@ -3,7 +3,10 @@
 The automaton holds every substring of every item's words. Training words are
 streamed through it: at each word it gives the longest ending that some item
 contains. Where that is 13 words or more, or a whole item of fewer, the words are
-hit. Spans of hit words, and documents of which a share is hit, are then removed.
+hit. Documents of which a share is hit are then removed, and from all others the
+spans of hit words are cut, however short their share: what stood between the first
+and the last character of a span's words becomes one line break. The words on both
+sides of a cut are not looked up again as neighbours.
 
 Benchmarks are taken in packs of a bounded number of words, so that one
 automaton, which is all that is broadcast, has a bounded size. A pack is one pass
@@ -25,8 +28,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rankloom.llm.words import words_of
+from rankloom.llm.words import word_places, words_of
 from rankloom.staging import stage
 
 WINDOW = 13
@@ -246,6 +250,45 @@ def report(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
+def without(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text less the spans of words, a line break in the place of each."""
+    places, parts, at = word_places(text), [], 0
+    for start, end in spans:
+        parts.append(text[at : places[start][0]])
+        at = places[end - 1][1]
+    return "\n".join([*parts, text[at:]])
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whole, and the text without its spans where there are any, else null."""
+    for batch in batches:
+        texts, spans = batch.column(0).field("text"), batch.column(1)
+        cut = [
+            without(texts[k].as_py(), [(s["start"], s["end"]) for s in spans[k].as_py()])
+            if spans[k].values
+            else None
+            for k in range(batch.num_rows)
+        ]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(cut, pa.string())], names=["_row", "_cut"]
+        )
+
+
 def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows that are not contaminated, with the columns they came with."""
-    return find(docs, items).where(~_contaminated()).select("_row.*")
+    """The rows that are not contaminated, less their hit spans, with the columns they came with.
+
+    Where a text is cut, a column `n_chars` gives its new length.
+    """
+    clean = find(docs, items).where(~_contaminated()).select("_row", "spans")
+    schema = T.StructType([clean.schema["_row"], T.StructField("_cut", T.StringType())])
+    rows = clean.mapInArrow(_cut, schema)
+    new = {"text": F.col("_cut"), "n_chars": F.length("_cut")}
+
+    def column(name: str):
+        own = F.col(f"_row.`{name}`")
+        if name not in new:
+            return own
+        changed = F.when(F.col("_cut").isNull(), own).otherwise(new[name])
+        return changed.cast(docs.schema[name].dataType).alias(name)
+
+    return rows.select(*[column(name) for name in docs.columns])

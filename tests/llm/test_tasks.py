@@ -74,6 +74,23 @@ def test_contamination(spark, docs_of, monkeypatch, pack_words, least):
     assert kept.count() == sum(not r.contaminated for r in rows)
 
 
+def test_hit_spans_are_cut_from_clean_documents(spark):
+    item = " ".join(f"i{k}" for k in range(60))
+    filler = " ".join(f"é{k}" for k in range(1000))
+    texts = [f"{filler}. ({item.upper()}), {filler}!", f"{filler} {item[:30]}", item, None]
+    docs = spark.createDataFrame(
+        [(k, t, t and len(t)) for k, t in enumerate(texts)], "doc_id long, text string, n_chars long"
+    )
+    table = spark.createDataFrame([(1, item)], "item_id long, text string")
+    kept = {r.doc_id: r for r in decontamination.keep_clean(docs, table).collect()}
+    assert set(kept) == {0, 1, 3}
+    assert kept[0].text == f"{filler}. (\n), {filler}!"
+    assert kept[0].n_chars == len(kept[0].text)
+    assert (kept[1].text, kept[3].text, kept[3].n_chars) == (texts[1], None, None)
+    again = decontamination.report(decontamination.keep_clean(docs, table), table)
+    assert again.where("n_hit > 0").count() == 0
+
+
 def test_no_items_no_hits(spark, docs_of):
     none = spark.createDataFrame([], "item_id long, text string")
     row = decontamination.report(docs_of((1, "a b")), none).first()
