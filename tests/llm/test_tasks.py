@@ -398,6 +398,22 @@ def test_every_source_has_its_own_weight(spark, docs_of):
     assert mixed == {"s7": 10, "s8": 30}
 
 
+def test_the_schedule_keeps_to_the_given_targets(spark, docs_of):
+    names = [f"s{i}" for i in range(60)]
+    given_weights = {n: 0.75 / 59 for n in names} | {"s0": 0.25}
+    counts = {n: 50 for n in names} | {"s0": 1000}
+    rows = [(i, "x" * 10, n) for n in names for i in range(counts[n])]
+    targets = spark.createDataFrame(list(given_weights.items()), "source string, weight double")
+    got = mixing.mix(docs_of(*rows), targets, block=10, slots=100).collect()
+    slots = {n: sorted(r.slot for r in got if r.source == n) for n in names}
+    until = min(50 / w for n, w in given_weights.items() if n != "s0") - 100
+    for n, w in given_weights.items():
+        for t in range(0, int(until), 7):
+            given = sum(slot < t for slot in slots[n])
+            assert abs(given - t * w) < 4, (n, t)
+    assert abs(sum(slot < 3000 for slot in slots["s0"]) - 750) < 2
+
+
 # --- toxicity ----------------------------------------------------------------
 
 
