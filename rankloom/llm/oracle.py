@@ -148,9 +148,42 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
 FROM payloads JOIN firsts USING (html)
 """
 
+_TERMS = (
+    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    " '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+)
+
+_RANKED = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+item_terms AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+corpus AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS total FROM docs WHERE len(w) > 0),
+postings AS (
+  SELECT r, doc_id, n, term, count(*) AS tf
+  FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM docs) GROUP BY ALL
+),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM postings, corpus WHERE term IN (SELECT term FROM item_terms) GROUP BY term, n_docs
+),
+scores AS (
+  SELECT item_id, r, doc_id, CAST(sum(
+    w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // total)))
+  ) AS BIGINT) AS score
+  FROM postings JOIN weights USING (term) JOIN item_terms USING (term), corpus
+  GROUP BY item_id, r, doc_id
+),
+ranked AS (
+  SELECT item_id, doc_id, score,
+         CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank
+  FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 ORACLE = {
     "op3_quality_rules": _QUALITY,
     "op4_url_filters": _URLS,
     "op8_decontamination": _CONTAMINATION,
     "op10_warc_archives": _ARCHIVES,
+    "op12_lexical_search": _RANKED,
 }

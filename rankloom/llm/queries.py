@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rankloom.llm import (
+    alignment,
     decontamination,
+    lexical_search,
     license_scan,
     mixing,
     ngram_join,
     quality_rules,
     secret_scan,
+    suffix_dedup,
     token_files,
     toxicity,
     url_filters,
@@ -21,6 +25,7 @@ from rankloom.llm.columns import table
 
 
 TOKENIZER = "word_bpe_49k.json"
+ALIGNED = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 # The rules that every URL is judged by.
 URL_RULES = """
@@ -79,6 +84,27 @@ def op10_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_archives.write_and_read(table(spark, sf_dir, "pages"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_dedup.cut(table(spark, sf_dir, "documents"))
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical_search.build(table(spark, sf_dir, "documents"))
+    return lexical_search.search(index, table(spark, sf_dir, "benchmark"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = map(public_tokenizers.path, ALIGNED)
+    return alignment.align(table(spark, sf_dir, "documents"), *paths)
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_toxicity": op2_toxicity,
@@ -90,4 +116,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_secret_scan": op9_secret_scan,
     "op10_warc_archives": op10_warc_archives,
+    "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_alignment": op13_alignment,
 }

@@ -37,7 +37,7 @@ def test_native_plans_hold_no_python(spark, number):
 
 
 def test_one_query_for_each_operator():
-    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 14))
 
 
 def test_pipeline(spark):
