@@ -7,12 +7,13 @@ one anchor are one row, the text around it, and only rows whose gram stands
 elsewhere too (counted first, let through by a bitmap) are sorted at all.
 
 Rows are range-partitioned by the leading bytes of the anchor's suffix, at splitters that
-Spark samples; an anchor that fills several buckets is parted among them. A bucket sorts
-the suffixes from the anchors on, and the texts before them backwards, by multikey
+Spark samples. A gram of more than `HOT_ROWS` rows may fill several buckets. A bucket
+sorts the suffixes from the anchors on, and the texts before them backwards, by multikey
 quicksort, eight bytes a key. For each distance, two strings are equal if their
 suffixes agree as far as they reach to the right and their prefixes to the left,
 which the sorted neighbours' common lengths say. Last, buckets are compared across their
-boundaries: strings of a bucket's first and last anchor meet by their digests.
+boundaries: of a gram that may be parted, strings of a bucket's first and last anchor
+meet by their digests, each distinct one once a bucket.
 
 Defined results: null texts are empty; shorter texts than `LENGTH` bytes are kept whole.
 Repeated rows are copies of each other, so long ones lose all. Rows without id are
@@ -42,13 +43,20 @@ LENGTH = 400
 GRAM = 160
 LEAD = 64
 # Texts are hashed together up to this many bytes; a longer one in pieces of as many.
-PIECE = 1 << 20
+PIECE = 1 << 18
+# Rows of this many bytes are looked through for equal ones before they leave a task.
+HELD_BYTES = 1 << 22
+# A gram of more rows is parted among buckets.
+HOT_ROWS = 1 << 12
 # Rows that a bucket sorts together, or all of one anchor if they are more.
 SORT_ROWS = 1 << 13
 
 _REACH = LENGTH - GRAM
 _BASE = 0x9E3779B97F4A7C15
-_BLOCKS = "lead binary, block binary, before int, low int, digest binary, begin long, known boolean"
+_BLOCKS = (
+    "lead binary, block binary, before int, low int, digest binary, begin long, known boolean,"
+    " hot boolean"
+)
 _FOUND = "digest binary, begin long, end long, window binary"
 
 
@@ -63,16 +71,27 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """A hash of the `GRAM` bytes from each place on, in 64-bit arithmetic."""
-    n = len(data)
-    inverse = pow(_BASE, -1, 1 << 64)
-    powers, back = np.full(n, _BASE, np.uint64), np.full(n, inverse, np.uint64)
-    powers[0] = back[0] = 1
-    powers, back = np.cumprod(powers, dtype=np.uint64), np.cumprod(back, dtype=np.uint64)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_byte_values()[data] * powers, dtype=np.uint64, out=sums[1:])
-    return _mixed((sums[GRAM:] - sums[:-GRAM]) * back[: n - GRAM + 1])
+class GramHashes:
+    """Hashes of the `GRAM` bytes from each place on, in 64-bit arithmetic."""
+
+    def __init__(self) -> None:
+        self.values = _byte_values()
+        self.powers = self.back = np.zeros(0, np.uint64)
+
+    def __call__(self, data: np.ndarray) -> np.ndarray:
+        n = len(data)
+        if n > len(self.powers):
+            self.powers = self._powers(_BASE, n)
+            self.back = self._powers(pow(_BASE, -1, 1 << 64), n)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(self.values[data] * self.powers[:n], dtype=np.uint64, out=sums[1:])
+        return _mixed((sums[GRAM:] - sums[:-GRAM]) * self.back[: n - GRAM + 1])
+
+    @staticmethod
+    def _powers(base: int, n: int) -> np.ndarray:
+        factors = np.full(n, base, np.uint64)
+        factors[0] = 1
+        return np.cumprod(factors, dtype=np.uint64)
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -95,12 +114,12 @@ class Runs(NamedTuple):
     gram: np.ndarray
 
 
-def runs_of(data: np.ndarray, ends: np.ndarray) -> Runs:
+def runs_of(data: np.ndarray, ends: np.ndarray, hashes: GramHashes) -> Runs:
     """All strings of texts that stand one after another and end at `ends`."""
     if len(data) < LENGTH:
         nothing = np.zeros(0, np.int64)
         return Runs(nothing, nothing, nothing, nothing)
-    grams = gram_hashes(data)
+    grams = hashes(data)
     places = np.arange(len(grams), dtype=np.uint64)
     least = sliding_least((grams & np.uint64(0xFFFFFFFF00000000)) | places, _REACH + 1)
     anchor = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
@@ -118,85 +137,94 @@ def runs_of(data: np.ndarray, ends: np.ndarray) -> Runs:
 
 
 class Piece(NamedTuple):
-    text: bytes
+    digest: bytes
     offset: int
     data: bytes
 
 
-def _pieces(texts: Iterable[bytes]) -> Iterator[Piece]:
+def _pieces(text: bytes, digest: bytes) -> Iterator[Piece]:
     """Each string of a text lies in exactly one of its pieces."""
-    for text in texts:
-        for offset in range(0, max(1, len(text) - LENGTH + 1), PIECE):
-            yield Piece(text, offset, text[offset : offset + PIECE + LENGTH - 1])
+    for offset in range(0, len(text) - LENGTH + 1, PIECE):
+        yield Piece(digest, offset, text[offset : offset + PIECE + LENGTH - 1])
 
 
 def chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[list[Piece]]:
-    """Pieces of the distinct texts of each batch that are long enough, some at a time."""
+    """Pieces of the texts that are long enough, some at a time; of equal texts of a batch one."""
     for batch in batches:
-        texts = dict.fromkeys(text.as_buffer().to_pybytes() for text in batch.column(0))
-        held, size = [], 0
-        for piece in _pieces(text for text in texts if len(text) >= LENGTH):
-            held.append(piece)
-            size += len(piece.data)
-            if size >= PIECE:
-                yield held
-                held, size = [], 0
+        seen, held, size = set(), [], 0
+        for text in batch.column(0):
+            data = text.as_buffer().to_pybytes()
+            digest = hashlib.sha256(data).digest()
+            if len(data) < LENGTH or digest in seen:
+                continue
+            seen.add(digest)
+            for piece in _pieces(data, digest):
+                held.append(piece)
+                size += len(piece.data)
+                if size >= PIECE:
+                    yield held
+                    held, size = [], 0
         if held:
             yield held
 
 
-def _joined(held: list[Piece]) -> tuple[bytes, np.ndarray, Runs]:
+def _joined(held: list[Piece], hashes: GramHashes) -> tuple[bytes, np.ndarray, Runs]:
     data = b"".join(piece.data for piece in held)
     ends = np.cumsum([len(piece.data) for piece in held])
-    return data, ends, runs_of(np.frombuffer(data, np.uint8), ends)
+    return data, ends, runs_of(np.frombuffer(data, np.uint8), ends, hashes)
 
 
 def _grams(texts: DataFrame) -> DataFrame:
-    """Anchors' grams that stand at more than one place."""
+    """Anchors' grams that stand at more than one place, and how often."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = GramHashes()
         for held in chunks(batches):
-            grams, times = np.unique(_joined(held)[2].gram, return_counts=True)
-            columns = [pa.array(grams), pa.array(np.minimum(times, 2))]
-            yield pa.RecordBatch.from_arrays(columns, names=["gram", "times"])
+            grams, times = np.unique(_joined(held, hashes)[2].gram, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(times)], names=["gram", "n"])
 
-    counted = texts.mapInArrow(count, "gram long, times long").groupBy("gram")
-    return counted.agg(F.sum("times").alias("times")).where("times > 1").select("gram")
+    counted = texts.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return counted.where("n > 1")
 
 
-def _blocks(texts: DataFrame, sieve: Broadcast) -> DataFrame:
-    """Rows of anchors whose gram may stand elsewhere; equal rows of a chunk as one.
+def _blocks(texts: DataFrame, sieve: Broadcast, hot: Broadcast) -> DataFrame:
+    """Rows of anchors whose gram may stand elsewhere; equal rows, as far as held, as one.
 
     Strings of such equal rows repeat for certain. They are told as found at once (rows
     with `lead` NULL and `before` the end), and the one row that is sorted is `known`.
     """
 
+    def rows_of(equal: dict[tuple, list[tuple[bytes, int]]]) -> pa.RecordBatch:
+        rows = []
+        for (block, before, is_hot), members in equal.items():
+            known = len(members) > 1
+            low = before - (len(block) - LENGTH)
+            rows.append((block[before : before + LEAD], block, before, low, *members[0], known, is_hot))
+            if known:
+                rows += [(None, None, len(block), 0, *member, True, False) for member in members]
+        return _batch(rows, _BLOCKS)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = GramHashes()
+        equal: dict[tuple, list[tuple[bytes, int]]] = {}
+        size = 0
         for held in chunks(batches):
-            data, ends, runs = _joined(held)
+            data, ends, runs = _joined(held, hashes)
             chosen = np.flatnonzero(hits(sieve.value, runs.gram))
-            if not len(chosen):
-                continue
             piece = np.searchsorted(ends, runs.first[chosen], "right")
             starts = np.insert(ends, 0, 0)
-            digests: dict[int, bytes] = {}
-            equal: dict[tuple[bytes, int], list[tuple[bytes, int]]] = {}
-            for row, k in zip(chosen.tolist(), piece.tolist()):
-                if k not in digests:
-                    digests[k] = hashlib.sha256(held[k].text).digest()
+            is_hot = hits(hot.value, runs.gram[chosen])
+            for row, k, often in zip(chosen.tolist(), piece.tolist(), is_hot.tolist()):
                 first, last = int(runs.first[row]), int(runs.last[row])
-                key = data[first : last + LENGTH], int(runs.anchor[row]) - first
+                key = data[first : last + LENGTH], int(runs.anchor[row]) - first, often
                 place = held[k].offset + first - int(starts[k])
-                equal.setdefault(key, []).append((digests[k], place))
-            rows = []
-            for (block, before), members in equal.items():
-                known = len(members) > 1
-                lead = block[before : before + LEAD]
-                low = before - (len(block) - LENGTH)
-                rows.append((lead, block, before, low, *members[0], known))
-                if known:
-                    rows += [(None, None, len(block), 0, *member, True) for member in members]
-            yield _batch(rows, _BLOCKS)
+                equal.setdefault(key, []).append((held[k].digest, place))
+                size += len(key[0])
+            if size >= HELD_BYTES:
+                yield rows_of(equal)
+                equal, size = {}, 0
+        if equal:
+            yield rows_of(equal)
 
     return texts.mapInArrow(cut, _BLOCKS)
 
@@ -295,7 +323,8 @@ def _spans(digests: list[bytes], anchor: np.ndarray, flags: np.ndarray) -> list[
 def _sort_buckets(blocks: DataFrame) -> DataFrame:
     """Spans under strings that repeat inside a bucket, and windows to meet across buckets.
 
-    A window has its digest and, unless it repeats inside its bucket, its place.
+    Only grams that may be parted have such windows, one for each distinct string. A
+    window has its digest and, unless it repeats inside its bucket, its place.
     """
 
     def told(table: pa.Table, edges: set[bytes]) -> Iterator[pa.RecordBatch]:
@@ -308,7 +337,8 @@ def _sort_buckets(blocks: DataFrame) -> DataFrame:
         known = table.column("known").to_numpy(zero_copy_only=False)
         found = resolve(texts, before, low, known)
         out = _spans(digests, begin + before, found.repeated)
-        edge = np.array([lead in edges for lead in leads])
+        parted = table.column("hot").to_numpy(zero_copy_only=False)
+        edge = np.array([lead in edges for lead in leads]) & parted
         rows, distances = np.nonzero(found.has & found.first & edge[:, None])
         for row, d in zip(rows.tolist(), distances.tolist()):
             at = int(before[row]) - d
@@ -360,11 +390,14 @@ def repeats(docs: DataFrame) -> DataFrame:
     """Spans (`begin`, `end`) of texts, named by their digest, that repeated strings cover."""
     texts = docs.select(F.col("text").cast("binary").alias("text"))
     texts = texts.where(F.octet_length("text") >= LENGTH)
-    sieve = sieve_of(stage(_grams(texts), "repeat-grams"), "gram")
-    blocks = stage(_blocks(texts, sieve), "repeat-blocks")
+    grams = stage(_grams(texts), "repeat-grams")
+    sieve, hot = sieve_of(grams, "gram"), sieve_of(grams.where(F.col("n") > HOT_ROWS), "gram")
+    blocks = stage(_blocks(texts, sieve, hot), "repeat-blocks")
     told = blocks.where("lead IS NULL")
     told = told.select("digest", "begin", (F.col("begin") + F.col("before")).alias("end"))
-    buckets = blocks.where("lead IS NOT NULL").repartitionByRange("lead", "digest", "begin")
+    # The rows of a parted gram differ in the key beyond its lead, those of others do not.
+    beyond = F.when(F.col("hot"), F.xxhash64("digest", "begin"))
+    buckets = blocks.where("lead IS NOT NULL").repartitionByRange("lead", beyond)
     found = stage(_sort_buckets(buckets.sortWithinPartitions("lead")), "repeat-spans")
     # A window has at most one row a bucket here, however often it stands there.
     meeting = found.where("window IS NOT NULL").groupBy("window").agg(
@@ -376,6 +409,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     return spans.unionByName(met.withColumn("end", F.col("begin") + LENGTH)).distinct()
 
 
+_SPANS = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 _KEPT = "doc_id long, n_bytes long, spans array<struct<begin:long,end:long>>, kept binary"
 
 
@@ -395,25 +429,28 @@ def cut(docs: DataFrame) -> DataFrame:
     spans = repeats(docs).unionByName(copies).groupBy("digest")
     spans = spans.agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
 
+    def rows_of(out: list[tuple]) -> pa.RecordBatch:
+        kinds = pa.int64(), pa.int64(), _SPANS, pa.binary()
+        columns = [pa.array([r[c] for r in out], kind) for c, kind in enumerate(kinds)]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "spans", "kept"])
+
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
-            for text, spans in zip(batch.column(1), batch.column(2).to_pylist()):
+            out, size = [], 0
+            for doc_id, text, spans in zip(*batch.columns):
                 data = text.as_buffer().to_pybytes()
-                merged = _merged([(s["begin"], s["end"]) for s in spans or []])
+                merged = _merged([(s["begin"], s["end"]) for s in spans.as_py() or []])
                 ends = [0, *[e for _, e in merged]]
                 begins = [*[b for b, _ in merged], len(data)]
-                out.append((len(data), merged, b"".join(data[e:b] for e, b in zip(ends, begins))))
-            columns = [
-                batch.column(0),
-                pa.array([r[0] for r in out], pa.int64()),
-                pa.array(
-                    [[{"begin": b, "end": e} for b, e in r[1]] for r in out],
-                    pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])),
-                ),
-                pa.array([r[2] for r in out], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "spans", "kept"])
+                kept = b"".join(data[e:b] for e, b in zip(ends, begins))
+                told = [{"begin": b, "end": e} for b, e in merged]
+                out.append((doc_id.as_py(), len(data), told, kept))
+                size += len(kept)
+                if size >= HELD_BYTES:
+                    yield rows_of(out)
+                    out, size = [], 0
+            if out:
+                yield rows_of(out)
 
     located = rows.join(spans, "digest", "left").select("doc_id", "_bytes", "spans")
     return located.mapInArrow(remove, _KEPT)

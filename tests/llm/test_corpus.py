@@ -90,13 +90,17 @@ def repeated_docs():
 
 
 @pytest.mark.parametrize("parts", [1, 12])
-def test_repeats(spark, docs_of, parted_buckets, parts):
+@pytest.mark.parametrize("hot_rows", [suffix_dedup.HOT_ROWS, 3])
+def test_repeats(spark, docs_of, monkeypatch, parted_buckets, parts, hot_rows):
+    monkeypatch.setattr(suffix_dedup, "HOT_ROWS", hot_rows)
     docs = repeated_docs()
     assert cut(docs_of(*docs).repartition(parts)) == repeats_by_hand(docs)
 
 
 def test_repeats_of_long_texts_in_pieces(spark, docs_of, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PIECE", 700)
+    monkeypatch.setattr(suffix_dedup, "HELD_BYTES", 5000)
+    monkeypatch.setattr(suffix_dedup, "HOT_ROWS", 1)
     monkeypatch.setattr(suffix_dedup, "SORT_ROWS", 8)
     docs = repeated_docs()
     assert cut(docs_of(*docs)) == repeats_by_hand(docs)
