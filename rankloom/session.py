@@ -13,6 +13,8 @@ RUNTIME = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows with whole texts go to Python and back in batches of a few MB, not of 10,000 rows.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
