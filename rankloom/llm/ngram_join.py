@@ -43,7 +43,7 @@ THRESHOLD = Fraction(4, 5)
 RECALL = 0.9999
 HASHES = 128
 BLOCK = 128
-WORDS_KEPT = 1 << 19
+WORDS_KEPT = 1 << 16
 
 
 class Banding(NamedTuple):
@@ -150,13 +150,18 @@ def _signed(rows: DataFrame, shape: Banding) -> DataFrame:
     return rows.mapInArrow(sign, "id long, k long, digest binary, bands array<bigint>")
 
 
+# Rows of a batch that are Python objects at a time.
+_ROWS_AT_ONCE = 256
+
+
 def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[dict]]:
     """Rows of sorted batches by equal values of the first `keys` columns."""
     held: list[dict] = []
     at: tuple | None = None
     for batch in batches:
         names = batch.schema.names[:keys]
-        for row in batch.to_pylist():
+        parts = (batch.slice(at, _ROWS_AT_ONCE) for at in range(0, len(batch), _ROWS_AT_ONCE))
+        for row in (row for part in parts for row in part.to_pylist()):
             key = tuple(row[name] for name in names)
             if key != at:
                 if held:

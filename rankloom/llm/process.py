@@ -11,11 +11,14 @@ _HOLDER = "_kept_by_worker"
 
 
 def kept(key: tuple, make: Callable[[], Any]) -> Any:
-    """What `make` gave for this key in this process, made once.
+    """What `make` gave for this key in this process, made once while no other key comes.
 
-    Functions travel by value, so their own module has no lasting globals.
+    Functions travel by value, so their own module has no lasting globals. One thing
+    is kept at a time: a worker serves one operator after another.
     """
     holder = sys.modules.setdefault(_HOLDER, ModuleType(_HOLDER))
-    if key not in vars(holder):
-        vars(holder)[key] = make()
-    return vars(holder)[key]
+    if getattr(holder, "key", None) != key:
+        holder.key = holder.value = None
+        holder.value = make()
+        holder.key = key
+    return holder.value

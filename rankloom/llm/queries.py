@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +25,9 @@ from rankloom.llm import (
     warc_archives,
 )
 from rankloom.llm.columns import table
+from rankloom.session import tune
 
+Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER = "word_bpe_49k.json"
 ALIGNED = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -105,7 +110,7 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), *paths)
 
 
-QUERIES = {
+_QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_toxicity": op2_toxicity,
     "op3_quality_rules": op3_quality_rules,
@@ -120,3 +125,14 @@ QUERIES = {
     "op12_lexical_search": op12_lexical_search,
     "op13_alignment": op13_alignment,
 }
+
+
+def _tuned(query: Query) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(tune(spark), sf_dir)
+
+    return run
+
+
+QUERIES = {name: _tuned(query) for name, query in _QUERIES.items()}
