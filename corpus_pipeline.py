@@ -13,31 +13,37 @@ from pyspark.sql import DataFrame, SparkSession
 from rankloom.llm import decontamination, mixing, ngram_join, quality_rules, token_files
 from rankloom.llm.columns import table
 from rankloom.llm.queries import TOKENIZER
+from rankloom.session import tune
 from rankloom.staging import stage
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
+    tune(spark)
     return quality_rules.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that links of five-word Jaccard 0.8 or more connect."""
+    tune(spark)
     return ngram_join.keep_one(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which benchmark items cover less than a twentieth, without what they cover."""
+    tune(spark)
     return decontamination.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of sources, none above its target share."""
+    tune(spark)
     return mixing.keep_mix(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document what its token file says of it."""
+    tune(spark)
     return token_files.write_and_read(docs, public_tokenizers.path(TOKENIZER))
 
 
