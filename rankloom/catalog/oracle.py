@@ -297,3 +297,19 @@ UNION ALL SELECT 'analytics', count(*), false FROM analytics""",
     + "SELECT * FROM messages ORDER BY timestamp DESC, status DESC LIMIT 1",
 }
 ORACLE["incremental_datetime"] = ORACLE["datetime_fact"]
+ORACLE["rejects_by_load"] = (
+    f"SELECT raw_line, reject_reason FROM ({ORACLE['line_rejects']}) CROSS JOIN range(4)"
+)
+# A renamed player is shown by the first of the names, also on the dates before.
+ORACLE["mart_increments"] = ORACLE["replace_sink"].replace(
+    "SELECT id, rank, name,",
+    """SELECT id, rank, CASE WHEN id % 7 = 0 AND "lastUpdatedOn" >= '1998-01-01'
+              THEN 'A' || name ELSE name END AS name,""",
+)
+# Of two deliveries with one date, the first by name brings it in.
+ORACLE["arrivals_together"] = ORACLE["rankings_fact"].replace(
+    "SELECT id, rank, name, country, rating, points,",
+    """SELECT id, rank, name, country, rating,
+         points + CASE WHEN date_diff('day', DATE '1970-01-01', TRY_CAST("lastUpdatedOn" AS DATE))
+                            % 50 = 49 THEN 1 ELSE 0 END AS points,""",
+)

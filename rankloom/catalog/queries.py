@@ -95,6 +95,10 @@ def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def line_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sources.rejected(sources.decode_lines(_spoilt_lines(spark, sf_dir)))
+
+
+def _spoilt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines spoilt by their own data: a field too many, or text for a number."""
     line = csv_line(*FEED.names)
     text_rating = csv_line(
@@ -107,7 +111,19 @@ def line_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = f"{fresh_folder(spark, 'spoilt')}/lines"
     sinks.write_lines(feed(spark, sf_dir).select(spoilt.alias("value")), path)
-    return sources.rejected(sources.decode_lines(sources.read_lines(spark, path)))
+    return sources.read_lines(spark, path)
+
+
+@query
+def rejects_by_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line twice in one load, once in another, and in a delivery taken up twice."""
+    lines = _spoilt_lines(spark, sf_dir)
+    with _warehouse(spark) as store:
+        plans.load_lines(store, lines.unionByName(lines))
+        plans.load_lines(store, lines)
+        for _ in range(2):
+            plans.load_lines(store, lines, delivery="run=1")
+        return stage(store.read("rejected_lines"), "result")
 
 
 @query
@@ -489,9 +505,26 @@ def replace_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = feed(spark, sf_dir)
     with _warehouse(spark) as store:
         plans.load_rows(store, rows.where(F.col("lastUpdatedOn") < LOADED_BEFORE))
-        plans.refresh_analytics(store)
+        plans.replace_analytics(store)
         plans.load_rows(store, rows)
-        plans.refresh_analytics(store)
+        plans.replace_analytics(store)
+        return stage(store.read("analytics"), "result")
+
+
+@query
+def mart_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart brought up after each of three loads, the last of which renames players."""
+    rows = feed(spark, sf_dir)
+    day = F.col("lastUpdatedOn")
+    renamed = F.when(F.col("id") % 7 == 0, F.concat(F.lit("A"), "name")).otherwise(F.col("name"))
+    with _warehouse(spark) as store:
+        for part in (
+            rows.where(day < "1995-01-01"),
+            rows.where(day.between("1995-01-01", "1997-12-31")),
+            rows.where(day >= LOADED_BEFORE).withColumn("name", renamed),
+        ):
+            plans.load_rows(store, part)
+            plans.refresh_analytics(store)
         return stage(store.read("analytics"), "result")
 
 
@@ -542,6 +575,22 @@ def arrival_stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
         return stage(store.read("rankings"), "result")
 
 
+@query
+def arrivals_together(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fifty deliveries there at once under one marker; two have each date, with other points."""
+    folder = fresh_folder(spark, "together")
+    rows = feed(spark, sf_dir)
+    run = F.pmod(F.unix_date(F.col("lastUpdatedOn").cast("date")), F.lit(50))
+    first, second = rows.withColumn("run", run), rows.withColumn("run", (run + 1) % 50)
+    both = first.unionByName(second.withColumn("points", F.col("points") + 1))
+    lines = both.select(csv_line(*FEED.names).alias("value"), F.format_string("%02d", "run").alias("run"))
+    lines.repartition("run").write.partitionBy("run").text(f"{folder}/landing/day=1")
+    with _warehouse(spark) as store:
+        arriving = streaming.arriving_lines(spark, f"{folder}/landing", "part-*.txt")
+        streaming.load_arrivals(arriving, store, f"{folder}/checkpoint").awaitTermination()
+        return stage(store.read("rankings"), "result")
+
+
 @query
 def status_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message twice, in batches of one file: each is kept as often as it came."""

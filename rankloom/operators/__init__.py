@@ -4,7 +4,7 @@ from rankloom.operators.best import best_per_group
 from rankloom.operators.defaults import fill_defaults
 from rankloom.operators.dimensions import country_dim, date_dim, datetime_dim, player_dim
 from rankloom.operators.facts import rankings
-from rankloom.operators.incremental import new_dates, new_datetimes, only_new
+from rankloom.operators.incremental import first_brought, new_dates, new_datetimes, only_new
 from rankloom.operators.numbering import number_rows
 from rankloom.operators.preview import preview
 from rankloom.operators.profile import column_profile, profile
@@ -18,6 +18,7 @@ __all__ = [
     "date_dim",
     "datetime_dim",
     "fill_defaults",
+    "first_brought",
     "json_records",
     "new_dates",
     "new_datetimes",

@@ -14,13 +14,32 @@ def only_new(rows: DataFrame, known: DataFrame) -> DataFrame:
     return rows.join(loaded, F.col("updated_on") == F.col("_loaded"), "left_anti")
 
 
+def first_brought(rows: DataFrame, order: str) -> DataFrame:
+    """Rows of the first of several deliveries that has their date; those without one all.
+
+    As if the deliveries were loaded one after another, in the order of their names: what
+    a later one says of a date already loaded brings nothing in.
+    """
+    first = rows.where("updated_on IS NOT NULL").groupBy(F.col("updated_on").alias("_day"))
+    first = first.agg(F.min(order).alias("_first"))
+    located = rows.join(first, F.col("updated_on") == F.col("_day"), "left")
+    kept = F.col("_first").isNull() | (F.col(order) == F.col("_first"))
+    return located.where(kept).drop("_day", "_first")
+
+
+def _unknown(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """The distinct dates of `rows` that `known` lacks; NULL is a date like others here."""
+    loaded = known.select(F.col("date").alias("_loaded"))
+    dates = rows.select("updated_on").distinct()
+    return dates.join(loaded, F.col("updated_on").eqNullSafe(F.col("_loaded")), "left_anti")
+
+
 def new_dates(rows: DataFrame, known: DataFrame) -> DataFrame:
     """Calendar rows for the dates not in `known`, numbered after them."""
-    return date_dim(only_new(rows.select("updated_on").distinct(), known), known)
+    return date_dim(_unknown(rows, known), known)
 
 
 def new_datetimes(rows: DataFrame, known: DataFrame) -> DataFrame:
     """Calendar rows for the timestamps not in `known`, numbered after them."""
     last = known.agg(F.max("date_id").alias("id")).first().id or 0
-    stamps = only_new(rows.select("updated_on").distinct(), known)
-    return datetime_dim(stamps, "updated_on", last)
+    return datetime_dim(_unknown(rows, known), "updated_on", last)

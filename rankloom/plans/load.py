@@ -1,19 +1,18 @@
 """Incremental load of a feed into a warehouse.
 
-A date is loaded as a whole or not at all, and its calendar row is written last:
-a load that breaks off leaves no date marked as loaded. The facts of a load are
-one partition, named by the first date key it gives out. As keys continue from
-the last date marked, the next load gets the same name and replaces what the
-broken one wrote. One writer at a time is assumed.
+A date is loaded as a whole or not at all. A load writes partitions of its own in all
+tables, and one row of the manifest then lets all of them count: a load that breaks
+off, wherever it does, leaves every table as it was. One writer of dates at a time is
+assumed, as their keys continue from the last one.
 
 No row vanishes: one whose date is loaded is left out as the feed's rule has it, and
-one that cannot be read, or has no readable date, is kept in `rejected_lines`.
+one that cannot be read, or has no readable date, is kept in `rejected_lines`, by load.
+A load with a name (its delivery) keeps them once, however often it is taken up.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from hashlib import sha256
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +21,7 @@ from rankloom.functions.text import csv_line
 from rankloom.operators.defaults import fill_defaults
 from rankloom.operators.dimensions import country_dim, player_dim
 from rankloom.operators.facts import rankings
-from rankloom.operators.incremental import new_dates, new_datetimes, only_new
+from rankloom.operators.incremental import first_brought, new_dates, new_datetimes, only_new
 from rankloom.schemas import FEED
 from rankloom.sinks.files import write_feed_csv
 from rankloom.sinks.warehouse import Warehouse
@@ -33,33 +32,18 @@ from rankloom.staging import scratch
 UNDATED = "no readable date"
 
 
-def _store_rejects(warehouse: Warehouse, marked: DataFrame, delivery: str | None) -> None:
-    """Keep what cannot be loaded, in a partition that the same load replaces.
-
-    The partition is named by the delivery or else by the rejected rows themselves.
-    """
-    rejects = rejected(marked)
-    found = rejects.agg(
-        F.count("*").alias("n"), F.bit_xor(F.xxhash64("raw_line", "reject_reason")).alias("key")
-    ).first()
-    if found.n:
-        key = found.key if delivery is None else load_key(delivery)
-        warehouse.write_load("rejected_lines", rejects, key)
-
-
-def load_key(name: str) -> int:
-    """A partition's number for a name, the same in every process."""
-    return int.from_bytes(sha256(name.encode()).digest()[:7])
-
-
 def _load(
     warehouse: Warehouse,
     marked: DataFrame,
     date_patterns: Sequence[str],
-    delivery: str | None,
+    name: str | None = None,
     timed: bool = False,
+    deliveries: DataFrame | None = None,
 ) -> int:
-    """Store rows with `raw_line` and `reject_reason`. New ones are parsed and written once."""
+    """Store rows with `raw_line` and `reject_reason`. New ones are parsed and written once.
+
+    With `deliveries`, rows have the `delivery` they came in, and those are noted as loaded.
+    """
     calendar, new = ("datetime_dim", new_datetimes) if timed else ("date_dim", new_dates)
     known = warehouse.read(calendar)
     rows = fill_defaults(marked, date_patterns, keep_time=timed)
@@ -73,19 +57,29 @@ def _load(
     )
     with scratch(warehouse.spark) as stage:
         fresh = stage(only_new(rows, known), "rows")
-        _store_rejects(warehouse, fresh, delivery)
-        good = fresh.where("reject_reason IS NULL")
+        if deliveries is not None:
+            fresh = first_brought(fresh, "delivery")
+        good, rejects = fresh.where("reject_reason IS NULL"), rejected(fresh)
         dates = stage(new(good, known), "dates")
-        found = dates.agg(F.count("*").alias("days"), F.min("date_id").alias("first_key")).first()
-        if not found.days:
+        days = dates.count()
+        kept_before = name is not None and warehouse.committed(name)
+        keep = not kept_before and not rejects.isEmpty()
+        if not (days or keep or deliveries is not None):
             return 0
-        warehouse.append_unseen("player_dim", player_dim(good))
-        warehouse.append_unseen("country_dim", country_dim(good))
-        # Sorted inside each file, so that row groups cover few dates.
-        facts = rankings(good, dates).sortWithinPartitions("date_id")
-        warehouse.write_load("rankings", facts, found.first_key)
-        warehouse.append(calendar, dates)
-        return found.days
+        load = warehouse.new_load()
+        if keep:
+            warehouse.write_load("rejected_lines", rejects, load)
+        if days:
+            for table, dimension in (("player_dim", player_dim), ("country_dim", country_dim)):
+                warehouse.write_load(table, warehouse.unseen(table, dimension(good)), load)
+            # Sorted inside each file, so that row groups cover few dates.
+            facts = rankings(good, dates).sortWithinPartitions("date_id")
+            warehouse.write_load("rankings", facts, load)
+            warehouse.write_load(calendar, dates, load)
+        if deliveries is not None:
+            warehouse.write_load("deliveries", deliveries, load)
+        warehouse.commit(load, name, has_facts=days > 0)
+        return days
 
 
 def load_rows(
@@ -117,6 +111,20 @@ def load_lines(
     return _load(warehouse, decode_lines(lines), date_patterns, delivery)
 
 
+def load_deliveries(
+    warehouse: Warehouse,
+    lines: DataFrame,
+    deliveries: DataFrame,
+    date_patterns: Sequence[str] = (),
+) -> int:
+    """Load the lines of several deliveries (`value`, `delivery`) as one load.
+
+    The outcome is that of loading them one after another in the order of their names,
+    in as many jobs as one of them takes.
+    """
+    return _load(warehouse, decode_lines(lines, "delivery"), date_patterns, deliveries=deliveries)
+
+
 def load_payload(
     warehouse: Warehouse,
     texts: DataFrame,
@@ -130,5 +138,7 @@ def load_payload(
 def land_payload(texts: DataFrame, path: str, rejects: Warehouse | None = None) -> None:
     """The records of payload documents as landing CSV; others into the quarantine of `rejects`."""
     write_feed_csv(flatten_payload(texts), path)
-    if rejects:
-        _store_rejects(rejects, decode_payload(texts), path)
+    if rejects and not rejects.committed(path):
+        load = rejects.new_load()
+        rejects.write_load("rejected_lines", rejected(decode_payload(texts)), load)
+        rejects.commit(load, path)

@@ -97,24 +97,38 @@ ANALYTICS = _struct(
     year=_int,
 )
 REJECTED_LINES = _struct(raw_line=_text, reject_reason=_text)
-# Deliveries seen, and again once loaded.
-DELIVERIES = _struct(delivery=_text, file_name=_text, loaded=T.BooleanType())
+# Folders in which files were seen, below what landing folder, and those loaded.
+ARRIVALS = _struct(delivery=_text, file_name=_text, landing=_text)
+DELIVERIES = _struct(delivery=_text, file_name=_text)
 STATUS = _struct(status=_text, timestamp=_double)
 
-# Tables a warehouse holds. Some are stored by load, in a partition column besides
-# the contract: the facts by the first date key the load gave out, rejected lines
-# and status messages by a number for what brought them.
+# The manifest: one row for each load whose rows count, and if it brought facts in.
+COMMITS = _struct(load_key=_long, name=_text, has_facts=T.BooleanType())
+# Which refresh of the mart holds the rows of which load, and of what kind they are.
+MART_PARTS = _struct(facts_key=_long, refresh_key=_long, kind=_text)
+
+# Columns that tables are partitioned by, besides the contract: the load that wrote a row
+# and, of dimensions, a bucket of the key, so that a load reads those it touches.
+LOAD, BUCKET, BUCKETS = "load_key", "bucket", 32
+_BY_LOAD, _BY_BUCKET = (LOAD,), (LOAD, BUCKET)
+
+# Tables a warehouse holds, each with its partition columns.
 TABLES = {
-    "player_dim": (PLAYER_DIM, None),
-    "country_dim": (COUNTRY_DIM, None),
-    "date_dim": (DATE_DIM, None),
-    "datetime_dim": (DATETIME_DIM, None),
-    "rankings": (RANKINGS, "first_date_id"),
-    "analytics": (ANALYTICS, None),
-    "status_log": (STATUS, "batch_key"),
-    "raw_landing": (RAW_LANDING, None),
-    "rejected_lines": (REJECTED_LINES, "load_key"),
-    "deliveries": (DELIVERIES, None),
+    "player_dim": (PLAYER_DIM, _BY_BUCKET),
+    "country_dim": (COUNTRY_DIM, _BY_BUCKET),
+    "date_dim": (DATE_DIM, _BY_LOAD),
+    "datetime_dim": (DATETIME_DIM, _BY_LOAD),
+    "rankings": (RANKINGS, _BY_LOAD),
+    "analytics": (ANALYTICS, ()),
+    "analytics_rows": (ANALYTICS, ("refresh_key", "facts_key")),
+    "mart_parts": (MART_PARTS, ()),
+    "status_log": (STATUS, _BY_LOAD),
+    "status_latest": (STATUS, _BY_LOAD),
+    "raw_landing": (RAW_LANDING, ()),
+    "rejected_lines": (REJECTED_LINES, _BY_LOAD),
+    "arrivals": (ARRIVALS, _BY_LOAD),
+    "deliveries": (DELIVERIES, _BY_LOAD),
+    "commits": (COMMITS, ()),
 }
 
 # Defaults for the only three columns that are filled.

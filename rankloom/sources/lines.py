@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,8 +53,8 @@ def without_headers(lines: DataFrame) -> DataFrame:
     return lines.where(~F.col("value").startswith(HEADER_PREFIX))
 
 
-def decode_lines(lines: DataFrame) -> DataFrame:
-    """The feed columns by position, with `raw_line` and `reject_reason`.
+def decode_lines(lines: DataFrame, *also: str) -> DataFrame:
+    """The feed columns by position, with `raw_line` and `reject_reason`, and columns kept `also`.
 
     A line with fewer fields than the contract is padded with NULL. A line with
     more, a blank one, one that ends inside quotes and one with text in a number
@@ -63,6 +65,7 @@ def decode_lines(lines: DataFrame) -> DataFrame:
     line = F.col("value")
     readable = F.when(parsable(line), line)
     cells = without_headers(lines).select(
+        *also,
         line.alias("raw_line"),
         readable.isNull().alias("_unread"),
         parse_once(F.from_csv(readable, shape, options)),
@@ -77,10 +80,13 @@ def decode_lines(lines: DataFrame) -> DataFrame:
             (misfit & (count_fields(raw) > len(FEED)), "too many fields"),
             (misfit & (count_of(raw, '"') % 2 == 1), "open quote"),
         ],
+        also,
     )
 
 
-def _typed(cells: DataFrame, faults: list[tuple[Column, str]]) -> DataFrame:
+def _typed(
+    cells: DataFrame, faults: list[tuple[Column, str]], also: Sequence[str] = ()
+) -> DataFrame:
     """Cells of text in the contract's types, with `raw_line` and the first fault's reason."""
     words = {name: na_to_null(F.col(name)) for name in FEED.names}
     values = {f.name: typed(words[f.name], f.dataType) for f in FEED}
@@ -95,6 +101,7 @@ def _typed(cells: DataFrame, faults: list[tuple[Column, str]]) -> DataFrame:
         *[values[name].alias(name) for name in FEED.names],
         "raw_line",
         reason.alias("reject_reason"),
+        *also,
     )
 
 

@@ -41,6 +41,19 @@ def file_exists(spark: SparkSession, path: str) -> bool:
     return filesystem.exists(hadoop_path)
 
 
+def marked(spark: SparkSession, folder: str, root: str, marker: str) -> bool:
+    """Whether a file of this name is in `folder` or in one above it, below `root`."""
+    filesystem, place = _filesystem(spark, folder)
+    top = filesystem.makeQualified(spark._jvm.org.apache.hadoop.fs.Path(root)).toString()
+    place = filesystem.makeQualified(place)
+    while True:
+        if filesystem.exists(spark._jvm.org.apache.hadoop.fs.Path(place, marker)):
+            return True
+        place = place.getParent()
+        if place is None or not place.toString().startswith(top + "/"):
+            return False
+
+
 def read_whole(spark: SparkSession, path: str) -> str:
     """A small text file, from any store Spark reaches."""
     return spark.read.text(path, wholetext=True).first().value

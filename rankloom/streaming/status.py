@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from rankloom.plans.load import load_key
 from rankloom.plans.mart import refresh_analytics
 from rankloom.schemas import REJECTED_LINES, STATUS
 from rankloom.sinks.warehouse import Warehouse
@@ -44,23 +43,30 @@ def refresh_on_success(
     by_latest: bool = False,
     refresh: bool = True,
 ) -> StreamingQuery:
-    """Keep every message, by batch, and rebuild the mart once per batch that calls for it.
+    """Keep every message, by batch, and refresh the mart once per batch that calls for it.
 
     A batch calls for it when it holds a success or, `by_latest`, when the
-    newest message ever kept is one. A batch that is replayed replaces what it wrote.
+    newest message ever kept is one. Of each batch the newest message is kept once more,
+    in a table of its own, so that the log is not read again. A batch that is replayed
+    finds its messages kept.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         store = warehouse.on(batch.sparkSession)
-        key = load_key(f"{checkpoint} {batch_id}")
+        name = f"status {checkpoint} {batch_id}"
         with scratch(batch.sparkSession) as stage:
             batch = stage(batch, "messages")
-            store.write_load("status_log", batch.select(*STATUS.names), key)
-            rejects = batch.where("reject_reason IS NOT NULL")
-            store.write_load("rejected_lines", rejects.select(*REJECTED_LINES.names), key)
+            if not store.committed(name):
+                key = store.new_load()
+                messages = batch.select(*STATUS.names)
+                store.write_load("status_log", messages, key)
+                store.write_load("status_latest", latest_status(messages), key)
+                rejects = batch.where("reject_reason IS NOT NULL")
+                store.write_load("rejected_lines", rejects.select(*REJECTED_LINES.names), key)
+                store.commit(key, name)
             if not refresh:
                 return
-            decisive = latest_status(store.read("status_log")) if by_latest else batch
+            decisive = latest_status(store.read("status_latest")) if by_latest else batch
             if not successes(decisive).isEmpty():
                 refresh_analytics(store)
 

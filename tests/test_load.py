@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import json
+import re
+from collections import Counter
 from pathlib import Path
 
 import pytest
 from samples import FIRST_DAY, HEADER, SECOND_DAY
 
 from rankloom import plans, sources
+from rankloom.schemas import PLAYER_DIM
 from rankloom.sinks import Warehouse
 from rankloom.staging import shared_root
 
@@ -68,36 +71,98 @@ def test_a_new_version_of_a_dimension_row_is_added(spark, warehouse):
     assert warehouse.read("analytics").count() == 32
 
 
-@pytest.mark.parametrize("retried", [FIRST_DAY, FIRST_DAY + SECOND_DAY, SECOND_DAY])
-def test_a_load_that_breaks_off_is_made_good_by_the_next(spark, warehouse, monkeypatch, retried):
-    """It breaks before its dates are marked; the next try may hold other files."""
-    append = Warehouse.append
+BREAKS = ("rejected_lines", "player_dim", "country_dim", "rankings", "date_dim", "commits")
 
-    def failing(self, table, df):
-        if table == "date_dim":
+
+@pytest.mark.parametrize(
+    ("table", "retried"),
+    [*[(table, FIRST_DAY) for table in BREAKS], ("date_dim", FIRST_DAY + SECOND_DAY), ("date_dim", SECOND_DAY)],
+)
+def test_a_load_that_breaks_off_changes_nothing(spark, warehouse, monkeypatch, table, retried):
+    """It breaks after a table is written, before the manifest is; the next may hold other files."""
+    old = [line.replace("2024-12-26", "2024-12-20") for line in FIRST_DAY]
+    plans.load_lines(warehouse, lines_of(spark, old))
+    before = contents(warehouse)
+    insert = Warehouse._insert
+
+    def failing(self, name, *given):
+        if name == table == "commits":
+            raise OSError("lost")
+        insert(self, name, *given)
+        if name == table:
             raise OSError("lost")
-        append(self, table, df)
 
-    monkeypatch.setattr(Warehouse, "append", failing)
+    monkeypatch.setattr(Warehouse, "_insert", failing)
+    renamed = [line.replace("Ada", "Eva") for line in FIRST_DAY]
     with pytest.raises(OSError):
-        plans.load_lines(warehouse, lines_of(spark, FIRST_DAY))
+        plans.load_lines(warehouse, lines_of(spark, [*renamed, "x,1,Ann"]))
     monkeypatch.undo()
-    assert warehouse.read("date_dim").count() == 0
+    assert contents(warehouse) == before
+    assert warehouse.read("rejected_lines").count() == 0
 
     plans.load_lines(warehouse, lines_of(spark, retried))
-    days = len(retried) // 15
-    assert sizes(warehouse) == dict(zip(STAR, (15, 9, days, len(retried)), strict=True))
-    plans.refresh_analytics(warehouse)
-    assert warehouse.read("analytics").count() == len(retried)
+    days = 1 + len(retried) // 15
+    assert sizes(warehouse) == dict(zip(STAR, (15, 9, days, 15 + len(retried)), strict=True))
+    after = contents(warehouse)
+    warehouse.sweep()
+    assert contents(warehouse) == after
+    left = spark.table(warehouse.name("player_dim")).where("first_name = 'Eva'")
+    assert left.count() == 0, "what broke off is swept away"
+
+
+def test_undecodable_lines_are_kept_by_load(spark, warehouse):
+    lines = lines_of(spark, [*FIRST_DAY, "1,2,3,4,5,6,7,8,9,10,11,12", "x,1,Ann", "x,1,Ann"])
 
+    def kept():
+        return Counter(tuple(r) for r in warehouse.read("rejected_lines").collect())
 
-def test_undecodable_lines_are_kept_once(spark, warehouse):
-    lines = lines_of(spark, [*FIRST_DAY, "1,2,3,4,5,6,7,8,9,10,11,12", "x,1,Ann"])
+    once = Counter({("1,2,3,4,5,6,7,8,9,10,11,12", "too many fields"): 1, ("x,1,Ann", "not a number"): 2})
     for _ in range(2):
-        plans.load_lines(warehouse, lines)
-    kept = {r.raw_line: r.reject_reason for r in warehouse.read("rejected_lines").collect()}
-    assert kept == {"1,2,3,4,5,6,7,8,9,10,11,12": "too many fields", "x,1,Ann": "not a number"}
-    assert warehouse.read("rejected_lines").count() == 2
+        plans.load_lines(warehouse, lines, delivery="run=1")
+    assert kept() == once
+    plans.load_lines(warehouse, lines)
+    assert kept() == once + once
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_unseen_dimension_rows_read_few_buckets(spark, warehouse):
+    plans.load_lines(warehouse, lines_of(spark, FIRST_DAY))
+    few = spark.createDataFrame([(501, "Ada", "Korhan"), (501, "Eva", "Korhan")], PLAYER_DIM)
+    unseen = warehouse.unseen("player_dim", few)
+    assert [r.first_name for r in unseen.collect()] == ["Eva"]
+    filters = re.findall(r"PartitionFilters: \[([^]]*)\]", plan_of(unseen))
+    assert any(re.search(r"bucket#\d+L? = \d+", f) for f in filters)
+
+
+def test_the_mart_is_brought_up_by_loads(spark, warehouse, tmp_path):
+    other = Warehouse(spark, f"{warehouse.database}_whole", str(tmp_path / "whole"))
+    days = [FIRST_DAY, SECOND_DAY, [line.replace("2024-12-26", "2024-12-30") for line in FIRST_DAY]]
+    days[2] = [line.replace("Ada Korhan", "Aaa Korhan").replace("Ostia", "Astia") for line in days[2]]
+    for distinct in (False, True):
+        for n, day in enumerate(days):
+            plans.load_lines(warehouse, lines_of(spark, day))
+            plans.load_lines(other, lines_of(spark, day))
+            done = plans.refresh_analytics(warehouse, distinct)
+            assert done == (3 if distinct and n == 0 else 0 if distinct else (1, 1, 3)[n])
+            plans.replace_analytics(other, distinct)
+            shown = sorted(map(repr, warehouse.read("analytics").collect()))
+            assert shown == sorted(map(repr, other.read("analytics").collect()))
+        assert plans.refresh_analytics(warehouse, distinct) == 0
+    warehouse.sweep()
+    assert sorted(map(repr, warehouse.read("analytics").collect())) == shown
+
+
+def test_a_refresh_reads_the_facts_of_new_loads_only(spark, warehouse):
+    for day in (FIRST_DAY, SECOND_DAY):
+        plans.load_lines(warehouse, lines_of(spark, day))
+    keys = [r.load_key for r in warehouse.read("commits").where("has_facts").collect()]
+    plan = plan_of(plans.mart_of_loads(warehouse, keys[1:]))
+    filters = re.findall(r"PartitionFilters: \[([^]]*)\]", plan)
+    assert any(f"= {keys[1]}" in f for f in filters)
+    assert not any(str(keys[0]) in f for f in filters)
 
 
 def test_other_date_forms(spark, warehouse):

@@ -40,14 +40,17 @@ def test_append_unseen_is_a_set_union(spark, warehouse):
     assert warehouse.read("status_log").count() == 3
 
 
-def test_write_load_replaces_its_own_load_only(spark, warehouse):
+def test_loads_count_once_committed(spark, warehouse):
     def facts(*players):
         return spark.createDataFrame([(p,) for p in players], "player_id int")
 
     warehouse.write_load("rankings", facts(1, 2), 1)
     warehouse.write_load("rankings", facts(3), 5)
-    warehouse.write_load("rankings", facts(4), 1)
-    assert sorted(r.player_id for r in warehouse.read("rankings").collect()) == [3, 4]
+    assert warehouse.read("rankings").count() == 0
+    warehouse.commit(5)
+    assert [r.player_id for r in warehouse.read("rankings").collect()] == [3]
+    warehouse.commit(1)
+    assert sorted(r.player_id for r in warehouse.read("rankings").collect()) == [1, 2, 3]
 
 
 def test_replace_swaps_whole_versions(spark, warehouse):

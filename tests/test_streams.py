@@ -39,6 +39,36 @@ def test_each_arrival_is_loaded_once(spark, warehouse, tmp_path):
     assert sizes(warehouse)["rankings"] == 30
 
 
+def test_a_marker_above_completes_folders_below_it(spark, warehouse, tmp_path):
+    landing = tmp_path / "landing"
+    for part, day in enumerate((FIRST_DAY, SECOND_DAY)):
+        (landing / "run=1" / f"part={part}").mkdir(parents=True)
+        (landing / "run=1" / f"part={part}" / FILE).write_text(with_header(day))
+    (landing / "_SUCCESS").touch()
+    arrive(spark, warehouse, tmp_path)
+    assert sizes(warehouse)["rankings"] == 0, "the landing folder itself is no delivery"
+    (landing / "run=1" / "_SUCCESS").touch()
+    arrive(spark, warehouse, tmp_path)
+    assert sizes(warehouse)["rankings"] == 30
+
+
+def test_deliveries_there_at_once_are_one_load(spark, warehouse, tmp_path):
+    """As if one after another: a date that two of them have comes from the first."""
+    for run in range(12):
+        day = [line.replace("2024-12-26", f"2024-12-{10 + run // 2}") for line in FIRST_DAY]
+        land(tmp_path / "landing", f"{run:02d}", with_header([*day[: 15 - run % 2], f"x,{run},Ann"]))
+    arrive(spark, warehouse, tmp_path)
+    assert warehouse.read("commits").where("has_facts").count() == 1
+    assert sizes(warehouse)["rankings"] == 6 * 15
+    assert warehouse.read("rejected_lines").count() == 12
+    other = Warehouse(spark, f"{warehouse.database}_single", str(tmp_path / "single"))
+    for run in range(12):
+        lines = sources.read_lines(spark, str(tmp_path / "landing" / f"run={run:02d}"))
+        plans.load_lines(other, lines, delivery=str(run))
+    assert contents(warehouse) == contents(other)
+    assert streaming.arrivals.waiting(warehouse).count() == 0
+
+
 def test_stream_equals_batch(spark, warehouse, tmp_path):
     for run, day in enumerate((FIRST_DAY, SECOND_DAY)):
         land(tmp_path / "landing", run, with_header(day))
@@ -98,6 +128,23 @@ def test_only_a_success_builds_the_mart(spark, warehouse, tmp_path):
     assert warehouse.read("status_log").count() == 3
 
 
+def test_latest_status_is_kept_by_batch(spark, warehouse, tmp_path):
+    """Late batches do not win, and replayed ones are kept once."""
+    folder = tmp_path / "messages"
+    folder.mkdir()
+    for name, times in (("1", (5.0, 4.0)), ("2", (1.0, 2.0))):
+        (folder / name).write_text("\n".join(message("success", t) for t in times) + "\n")
+        refresh(spark, warehouse, tmp_path, refresh=False)
+    kept = sorted(r.timestamp for r in warehouse.read("status_latest").collect())
+    assert kept == [2.0, 5.0]
+    assert streaming.latest_status(warehouse.read("status_latest")).first().timestamp == 5.0
+    for file in ("1", ".1.crc"):
+        (tmp_path / "status-checkpoint" / "commits" / file).unlink()
+    refresh(spark, warehouse, tmp_path, refresh=False)
+    assert warehouse.read("status_log").count() == 4
+    assert warehouse.read("status_latest").count() == 2
+
+
 def test_the_latest_status_may_decide(spark, warehouse, tmp_path):
     plans.load_lines(warehouse, lines_of(spark, FIRST_DAY))
     folder = tmp_path / "messages"
