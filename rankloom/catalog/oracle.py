@@ -313,3 +313,9 @@ ORACLE["arrivals_together"] = ORACLE["rankings_fact"].replace(
          points + CASE WHEN date_diff('day', DATE '1970-01-01', TRY_CAST("lastUpdatedOn" AS DATE))
                             % 50 = 49 THEN 1 ELSE 0 END AS points,""",
 )
+ORACLE["csv_line_breaks"] = (
+    _ON_FEED
+    + """SELECT * REPLACE (CASE WHEN id % 3 = 0
+       THEN '"' || replace(name, ' ', chr(10)) || '",' || chr(13) || chr(10) ELSE name END AS name)
+FROM feed"""
+)

@@ -201,6 +201,16 @@ def feed_scan_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_feed_csv(spark, path)
 
 
+@query
+def csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names that hold line breaks and quotes, written as CSV and read again."""
+    broken = F.concat(F.lit('"'), F.replace("name", F.lit(" "), F.lit("\n")), F.lit('",\r\n'))
+    name = F.when(F.col("id") % 3 == 0, broken).otherwise(F.col("name"))
+    path = f"{fresh_folder(spark, 'broken')}/feed"
+    sinks.write_feed_csv(feed(spark, sf_dir).withColumn("name", name), path)
+    return sources.read_feed_csv(spark, path)
+
+
 @query
 def table_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = _star(spark, sf_dir, distinct_facts=False).rankings

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rankloom.functions.text import CSV_OPTIONS, count_fields, count_of, csv_line, na_to_null
 from rankloom.functions.text import parsable, parse_once, typed
 from rankloom.schemas import FEED
+from rankloom.sources.records import csv_records, has_odd_lines
 
 HEADER_PREFIX = "id,"
 
@@ -24,23 +25,37 @@ def decode_csv(spark: SparkSession, path: str) -> DataFrame:
 
     Columns may stand in any order and be absent (then NULL); a name that is not
     in the contract is an error, and so are files of one scan whose headers differ.
-    Long lines and text in a number column are marked.
+    Long records, text in a number column and a quote that is never closed are marked.
+    Fields may hold line breaks; files that have some are cut by `csv_records`.
     """
     options = {"header": True, **CSV_OPTIONS}
     names = spark.read.options(**options).csv(path).columns
     unknown = sorted(set(names) - set(FEED.names))
     if unknown:
         raise ValueError(f"no such columns in the feed: {unknown}")
-    shape = ", ".join(f"`{name}` string" for name in [*names, "_misfit"])
-    strict = {"enforceSchema": False, "columnNameOfCorruptRecord": "_misfit", **options}
-    cells = spark.read.schema(shape).options(**strict).csv(path)
     given = [F.col(n) if n in names else F.lit(None).cast("string").alias(n) for n in FEED.names]
     misfit = F.col("_misfit")
     # A line with fewer fields than the header is padded, as `decode_lines` does.
     long = misfit.isNotNull() & (count_fields(misfit) > len(names))
-    written = F.coalesce(misfit, csv_line(*names))
-    cells = cells.select(*given, written.alias("raw_line"), long.alias("_long"))
-    return _typed(cells, [(F.col("_long"), "too many fields")])
+    shape = ", ".join(f"`{name}` string" for name in [*names, "_misfit"])
+    corrupt = {"columnNameOfCorruptRecord": "_misfit"}
+    if not has_odd_lines(spark, path):
+        strict = {"enforceSchema": False, **corrupt, **options}
+        cells = spark.read.schema(shape).options(**strict).csv(path)
+        written = F.coalesce(misfit, csv_line(*names))
+        cells = cells.select(*given, written.alias("raw_line"), long.alias("_long"))
+        return _typed(cells, [(F.col("_long"), "too many fields")])
+    records = csv_records(spark, path)
+    headers = [r.value for r in records.where("is_header").select("value").distinct().limit(2).collect()]
+    if len(headers) > 1:
+        raise ValueError(f"files of one scan have different headers: {headers}")
+    text = F.col("value")
+    parsed = F.from_csv(F.when(~F.col("is_open"), text), shape, {**corrupt, **CSV_OPTIONS})
+    cells = records.where("NOT is_header AND value <> ''").select(
+        text.alias("raw_line"), F.col("is_open").alias("_open"), parse_once(parsed)
+    )
+    cells = cells.select(*given, "raw_line", "_open", long.alias("_long"))
+    return _typed(cells, [(F.col("_open"), "open quote"), (F.col("_long"), "too many fields")])
 
 
 def read_feed_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import io
 import json
+import random
 
 import pandas as pd
 import pytest
@@ -203,3 +204,46 @@ def test_names_split_as_python_does(spark, names):
 def test_missing_name_stays_missing(spark):
     frame = spark.createDataFrame([(None,)], "name string")
     assert tuple(frame.select(first_name(frame.name), last_name(frame.name)).first()) == (None, None)
+
+
+def test_records_with_line_breaks_in_fields(spark, tmp_path):
+    """Small splits, so that records begin in one and end in another."""
+    rng = random.Random(3)
+    parts = ["A", "b", '"', "\n", ",", "x y", "\r\n", "é"]
+    expected = []
+    for file in range(3):
+        text = io.StringIO(newline="")
+        writer = csv.writer(text, lineterminator="\r\n" if file == 1 else "\n")
+        writer.writerow(FEED.names)
+        for i in range(120):
+            name = "".join(rng.choices(parts, k=rng.randint(1, 9))) if i % 3 else "Ann"
+            writer.writerow([i, 1, name, "C", 5, 6, "2024-12-26", "Up", "7", 3, 1.5])
+            expected.append((i, name))
+        (tmp_path / f"{file}.csv").write_text(text.getvalue(), newline="")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        decoded = sources.decode_csv(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert sorted((r.id, r.name) for r in decoded) == sorted(expected)
+    assert not [r for r in decoded if r.reject_reason]
+
+
+def test_a_quote_that_is_never_closed_spoils_its_line_alone(spark, tmp_path):
+    lines = [
+        '1,1,"A\nB",C,5,6,2024-12-26,Up,7,3,1.5',
+        '2,1,"open,C,5,6,2024-12-26,Up,7,3,1.5',
+        "3,1,Ann,C,5,6,2024-12-26,Up,7,3,1.5",
+    ]
+    (tmp_path / "a.csv").write_text("\n".join([",".join(FEED.names), *lines]) + "\n")
+    decoded = {r.raw_line: r for r in sources.decode_csv(spark, str(tmp_path)).collect()}
+    assert [decoded[line].reject_reason for line in lines] == [None, "open quote", None]
+    assert (decoded[lines[0]].name, decoded[lines[2]].id) == ("A\nB", 3)
+
+
+def test_files_with_line_breaks_and_other_headers_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,name\n1,"A\nB"\n')
+    (tmp_path / "b.csv").write_text("name,id\nA,1\n")
+    with pytest.raises(ValueError, match="headers"):
+        sources.decode_csv(spark, str(tmp_path))
