@@ -17,7 +17,8 @@ A document can only have a hit where it shares a run of a few words, looked up a
 every so many words, with an item. Documents without one are not streamed.
 
 Defined results: a null or empty text has no words and no hits; items without
-words are no items. Equal items each count by their own id. Repeated rows are judged each
+words are no items. Equal items each count by their own id, and
+all items without id hit as one item, which the digest of ids leaves out. Repeated rows are judged each
 by itself, and extra columns may have any name.
 """
 
@@ -162,7 +163,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _packs(items: DataFrame, pack_words: int) -> Iterator[list[tuple[int, str]]]:
     """The items in packs of about `pack_words` words, one pack in memory at a time."""
-    items = items.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL")
+    items = items.select("item_id", "text").where("text IS NOT NULL")
     pack, size = [], 0
     for item in items.toLocalIterator(prefetchPartitions=False):
         pack.append((item.item_id, item.text))
@@ -212,7 +213,7 @@ def _pass(spark: SparkSession, rows: DataFrame, pack: list[tuple[int, str]]) ->
                     spans += [(s["start"], s["end"]) for s in batch.column(2)[k].as_py()]
                     items |= set(batch.column(3)[k].as_py())
                 all_spans.append([{"start": s, "end": e} for s, e in merged(spans)])
-                all_items.append(sorted(items))
+                all_items.append(sorted(items, key=lambda i: (i is None, i or 0)))
             yield pa.RecordBatch.from_arrays(
                 [
                     row,
