@@ -77,7 +77,7 @@ def unpack(packed: bytes, count: int, bits: int) -> np.ndarray:
     return np.packbits(full, axis=1, bitorder="little").view("<u4").ravel()
 
 
-def encoder(path: str) -> tuple[Callable[[str], bytes], int]:
+def encoder(path: str, words_kept: int = WORDS_KEPT) -> tuple[Callable[[str], bytes], int]:
     """A function from text to ids as 32-bit bytes, and the size of the vocabulary."""
     from tokenizers import Tokenizer
 
@@ -112,7 +112,7 @@ def encoder(path: str) -> tuple[Callable[[str], bytes], int]:
                 text = lower
         words = _BLANKS.split(text)
         new = [w for w in set(words) if w not in known]
-        if len(known) + len(new) > WORDS_KEPT:
+        if len(known) + len(new) > words_kept:
             known.clear()
             new = list(set(words))
         if new:
@@ -220,8 +220,17 @@ _SHARDS = "part int, nr int, path string, ids long"
 _READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
-def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID) -> DataFrame:
-    """Write all texts; per shard its place in the order, its path and its number of ids."""
+def write(
+    docs: DataFrame,
+    tokenizer: str,
+    folder: str,
+    end_id: int = END_ID,
+    words_kept: int = WORDS_KEPT,
+) -> DataFrame:
+    """Write all texts; per shard its place in the order, its path and its number of ids.
+
+    A worker keeps the ids of up to `words_kept` words, some 250 bytes each, for speed alone.
+    """
     ordered = (
         docs.select("doc_id", whole().alias("text"))
         .repartitionByRange("doc_id")
@@ -230,7 +239,9 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID) ->
     )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        to_ids, size = kept(("encoder", tokenizer), lambda: encoder(tokenizer))
+        to_ids, size = kept(
+            ("encoder", tokenizer, words_kept), lambda: encoder(tokenizer, words_kept)
+        )
         bits = bits_for(max(size, end_id + 1))
         tail = np.array([end_id], "<u4").tobytes()
         writer, nr, part = None, 0, 0
@@ -289,6 +300,6 @@ def _columns(rows: list[tuple[int | None, int, int, int]]) -> pa.RecordBatch:
     )
 
 
-def write_and_read(docs: DataFrame, tokenizer: str) -> DataFrame:
+def write_and_read(docs: DataFrame, tokenizer: str, words_kept: int = WORDS_KEPT) -> DataFrame:
     folder = fresh_folder(docs.sparkSession, "tokens")
-    return read(write(docs, tokenizer, folder), folder)
+    return read(write(docs, tokenizer, folder, words_kept=words_kept), folder)
