@@ -17,6 +17,10 @@ from rankloom.session import tune
 from rankloom.staging import stage
 
 
+# Workers have served other stages before the last, and keep less for it than it takes alone.
+WORDS_KEPT = 1 << 16
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     tune(spark)
@@ -44,7 +48,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document what its token file says of it."""
     tune(spark)
-    return token_files.write_and_read(docs, public_tokenizers.path(TOKENIZER))
+    return token_files.write_and_read(docs, public_tokenizers.path(TOKENIZER), WORDS_KEPT)
 
 
 STAGES = [
