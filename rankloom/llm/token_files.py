@@ -51,7 +51,7 @@ WORDS_KEPT = 1 << 20
 _HEAD, _TAIL = "<4sHHIQQ", "<QQQ"
 _HEAD_SIZE, _TAIL_SIZE = struct.calcsize(_HEAD), struct.calcsize(_TAIL)
 _MAGIC = b"RLTK"
-_BLANKS = re.compile(r"[ \t\n\r]+")
+_BLANKS = re.compile(rb"[ \t\n\r]+")
 
 
 def bits_for(size: int) -> int:
@@ -90,17 +90,18 @@ def encoder(path: str, words_kept: int = WORDS_KEPT) -> tuple[Callable[[str], by
     letters = string.ascii_letters
     lowers = ids_of(letters) == ids_of(letters.lower())
     special = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
-    known: dict[str, bytes] = {}
+    known: dict[bytes, bytes] = {}
 
-    def learn(words: list[str]) -> None:
+    def learn(new: list[bytes]) -> None:
         """Encode words as one text and part the ids by the words they begin in."""
+        words = [word.decode() for word in new]
         found = tokenizer.encode(" ".join(words), add_special_tokens=False)
         ends = np.cumsum([len(w) + 1 for w in words])
         ids = np.array(found.ids, "<u4")
         at = np.array([start for start, _ in found.offsets], np.int64)
         cuts = [0, *np.searchsorted(at, ends).tolist()]
         packed = ids.tobytes()
-        for k, word in enumerate(words):
+        for k, word in enumerate(new):
             known[word] = packed[4 * cuts[k] : 4 * cuts[k + 1]]
 
     def encode(text: str) -> bytes:
@@ -110,8 +111,10 @@ def encoder(path: str, words_kept: int = WORDS_KEPT) -> tuple[Callable[[str], by
             lower = text.lower()
             if not any(token in lower for token in special):
                 text = lower
-        words = _BLANKS.split(text)
-        new = [w for w in set(words) if w not in known]
+        data = text.encode()
+        # `split` parts at two control characters more.
+        words = _BLANKS.split(data) if b"\v" in data or b"\f" in data else data.split()
+        new = list(set(words).difference(known))
         if len(known) + len(new) > words_kept:
             known.clear()
             new = list(set(words))
