@@ -36,11 +36,6 @@ def _filesystem(spark: SparkSession, path: str) -> tuple:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def file_exists(spark: SparkSession, path: str) -> bool:
-    filesystem, hadoop_path = _filesystem(spark, path)
-    return filesystem.exists(hadoop_path)
-
-
 def marked(spark: SparkSession, folder: str, root: str, marker: str) -> bool:
     """Whether a file of this name is in `folder` or in one above it, below `root`."""
     filesystem, place = _filesystem(spark, folder)
