@@ -1,20 +1,22 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries share a trunk of ordinary text; one goes on with words
-that set toxic texts apart, the other with words that set ordinary texts apart. A
+zstandard trains two dictionaries: one on windows of ordinary texts, one on windows of
+toxic texts without the words that ordinary texts use as often. The toxic one goes on from
+the ordinary one, so that what both classes say costs the same under either. A
 window of words that compresses better with the toxic one is suspect. A text's
 windows are summed up in a few numbers (how many save 2, 3 or 4 bytes, the most
 saved, the mean), and a logistic curve over them, fitted on training rows and moved to
-the best threshold there, gives the score.
+the threshold that is best there, gives the score.
 
-What sets a class apart comes from counts of documents by word, over the training
-sample, in Spark; the words of the highest z-scores go into the dictionaries. The
-training sample is bounded: `MOST_TOXIC` toxic and `MOST_ORDINARY` ordinary rows, the
-first by the hash of their id. Whole texts are scored, every window of them.
+Which words ordinary texts use as often follows from counts of documents by word, over the
+training sample, in Spark. The training sample is bounded: `MOST_TOXIC` toxic and
+`MOST_ORDINARY` ordinary rows, the first by the hash of their id, and of each class
+`MOST_WINDOWS` windows for its dictionary. Whole texts are scored, every window of them.
 
 Defined results: null and empty texts have one empty window and the score that
 follows from it. A row without id is not held out. Without training rows of both
-labels every score is near 1 if there are toxic ones, else near 0. Repeated rows are scored each by
+labels every score is near 1 if there are toxic ones, else near 0. An id with both labels
+is toxic; equal texts train once. Repeated rows are scored each by
 itself; other columns are not looked at.
 """
 
@@ -35,10 +37,13 @@ from rankloom.llm.process import kept
 from rankloom.staging import stage
 
 MOST_TOXIC, MOST_ORDINARY = 4_000, 16_000
-TELLING_WORDS = 100
-LEAST_Z = 4.0
-LEAST_DOCS = 3
-TRUNK_BYTES, TRUNK_PIECE = 8192, 128
+MOST_WINDOWS = 40_000
+# A telling word is in this share of the toxic texts, and more often than in others by this z-score.
+LEAST_SHARE, LEAST_DOCS, LEAST_Z = 0.02, 3, 6.0
+ORDINARY_BYTES, TOXIC_BYTES = 8192, 1024
+SEGMENT, MATCHED = 24, 6
+# zstandard takes no empty dictionary, and looks for nothing in the last bytes of one.
+SHORTEST, UNSEEN = 64, 16
 WINDOW, STEP = 8, 3
 FOLDS, HELD_OUT = 5, 0
 
@@ -118,18 +123,25 @@ FEATURES = 9
 def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Training rows: `doc_id`, `text`, `toxic`, none of them held out."""
     known = labels.select("doc_id", "toxic").where("toxic IS NOT NULL AND doc_id IS NOT NULL")
-    known = known.where(fold(F.col("doc_id")) != HELD_OUT).dropDuplicates(["doc_id"])
+    known = known.where(fold(F.col("doc_id")) != HELD_OUT)
+    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64("doc_id"), F.col("doc_id")
     toxic = known.where("toxic = 1").orderBy(*order).limit(MOST_TOXIC)
     chosen = toxic.unionByName(known.where("toxic = 0").orderBy(*order).limit(MOST_ORDINARY))
     # The chosen ids are bounded by the two parameters, so no other text is shuffled.
     rows = docs.select("doc_id", whole().alias("text")).join(F.broadcast(chosen), "doc_id")
     # An id that many rows have counts once, or it would break the bound.
-    return rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    # So does a text, or its copies would make its words telling.
+    return rows.groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"))
 
 
-def _telling(sample: DataFrame, toxic: int, ordinary: int) -> tuple[list[str], list[str]]:
-    """The words of the highest z-scores by documents, for each class, the best first."""
+def _telling(sample: DataFrame, toxic: int, ordinary: int) -> frozenset[str]:
+    """Words in many toxic texts that ordinary ones have less often, by the documents they are in.
+
+    Each is in a fixed share of the toxic texts, so there are at most 1 / share times as many as
+    words in a text.
+    """
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,30 +162,49 @@ def _telling(sample: DataFrame, toxic: int, ordinary: int) -> tuple[list[str], l
     a, b = F.col("a"), F.col("b")
     share = (a + b) / (toxic + ordinary)
     spread = F.sqrt(share * (1 - share) * (1 / toxic + 1 / ordinary) + 1e-12)
-    scored = counts.where(a + b >= LEAST_DOCS).withColumn(
-        "z", F.round((a / toxic - b / ordinary) / spread, 6)
+    frequent = counts.where(a >= max(LEAST_DOCS, LEAST_SHARE * toxic))
+    return frozenset(
+        r.word
+        for r in frequent.where((a / toxic - b / ordinary) / spread > LEAST_Z).select("word").collect()
     )
-    scored = stage(scored.select("word", "z"), "toxicity-words")
-    best = scored.where(F.col("z") > LEAST_Z).orderBy(F.desc("z"), "word").limit(TELLING_WORDS)
-    rest = scored.where("z < 0").orderBy("z", "word").limit(TELLING_WORDS)
-    return [r.word for r in best.collect()], [r.word for r in rest.collect()]
-
 
-def _trunk(sample: DataFrame) -> bytes:
-    """Pieces of ordinary texts, one from each of the first by hash."""
-    middle = 1 + F.floor(F.length("text") / 2).cast("int")
-    piece = F.substring("text", middle, F.lit(TRUNK_PIECE))
-    rows = sample.where("toxic = 0").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")
-    pieces = rows.select(piece.alias("piece")).limit(TRUNK_BYTES // TRUNK_PIECE).collect()
-    words = _WORD.findall(" ".join(r.piece for r in pieces).lower())
-    return " ".join(words).encode()[:TRUNK_BYTES]
 
+def _pieces(sample: DataFrame, label: int, telling: frozenset[str] | None = None) -> list[bytes]:
+    """Windows of a class's texts, of their telling words alone if given: the first by hash."""
 
-def _dictionaries(trunk: bytes, toxic: list[str], ordinary: list[str]) -> Dictionaries:
-    """The trunk, then the words, the most telling last; both of one length."""
-    tails = [f" {' '.join(reversed(words))} ".encode() for words in (toxic, ordinary)]
-    size = max(map(len, tails))
-    return Dictionaries(*[trunk + tail.rjust(size) for tail in tails])
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for text in batch.column(0):
+                words = _WORD.findall(text.as_py().lower())
+                if telling is not None:
+                    words = [w for w in words if w in telling]
+                found += [
+                    f" {' '.join(words[i : i + WINDOW])} " for i in range(0, len(words), WINDOW)
+                ]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["piece"])
+
+    pieces = sample.where(F.col("toxic") == label).select("text").mapInArrow(cut, "piece string")
+    first = pieces.orderBy(F.xxhash64("piece"), "piece").limit(MOST_WINDOWS)
+    # A word of any length may stand in a text; no dictionary has room for a longer piece.
+    return [r.piece.encode()[:ORDINARY_BYTES] for r in first.collect()]
+
+
+def _trained(pieces: list[bytes], size: int) -> bytes:
+    """What zstandard picks of the pieces; too few for it to pick from are taken as they are."""
+    try:
+        found = zstandard.train_dictionary(size, pieces, k=SEGMENT, d=MATCHED)
+    except (zstandard.ZstdError, ValueError):
+        return b"".join(pieces)[:size]
+    return found.as_bytes()
+
+
+def _dictionaries(sample: DataFrame, telling: frozenset[str]) -> Dictionaries:
+    """Both of one length, so that what they share is as far off in either."""
+    shared = _trained(_pieces(sample, 0), ORDINARY_BYTES).rjust(SHORTEST)
+    own = _trained(_pieces(sample, 1, telling), TOXIC_BYTES) if telling else b""
+    end = b" " * UNSEEN
+    return Dictionaries(toxic=shared + own + end, ordinary=shared + b" " * len(own) + end)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 4000, ridge: float = 1e-3) -> np.ndarray:
@@ -202,9 +233,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     if not toxic or not ordinary:
         share = 1.0 if toxic else 0.0
         zero = (0.0,) * FEATURES
-        return Model(Dictionaries(b" " * 64, b" " * 64), zero, zero, zero, 30.0 * (2 * share - 1))
-    words = _telling(sample, toxic, ordinary)
-    dictionaries = _dictionaries(_trunk(sample), *words)
+        blank = b" " * SHORTEST
+        return Model(Dictionaries(blank, blank), zero, zero, zero, 30.0 * (2 * share - 1))
+    dictionaries = _dictionaries(sample, _telling(sample, toxic, ordinary))
     # A few numbers a row of the bounded sample come to the driver.
     rows = _measured(sample.select("text", "toxic"), dictionaries).collect()
     x = np.array([r.features for r in rows])

@@ -429,7 +429,7 @@ def test_toxicity_on_held_out_rows(spark):
     rank = np.argsort(np.argsort(score))
     n = toxic.sum()
     auc = (rank[toxic == 1].sum() - n * (n - 1) / 2) / (n * (len(rows) - n))
-    assert auc > 0.85
+    assert auc > 0.9
 
 
 def test_a_repeated_id_is_one_training_row(spark, docs_of):
@@ -439,6 +439,35 @@ def test_a_repeated_id_is_one_training_row(spark, docs_of):
     assert sorted(ids) == [i for i in (2, 3) if zlib.crc32(str(i).encode()) % 5]
 
 
+def test_dictionaries_hold_what_sets_their_class_apart(spark, docs_of):
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5]
+    names = [f"w{i * 7919 % 1009:04d}x" for i in range(60)]
+    texts = {
+        i: " ".join([*(names[(i * k) % 60] for k in range(1, 40)), *(["blighter"] * (i % 4 == 0))])
+        for i in ids
+    }
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in ids], "doc_id long, toxic int")
+    docs = docs_of(*texts.items())
+    model = toxicity.train(docs, labels)
+    assert b"blight" in model.dictionaries.toxic
+    assert b"blight" not in model.dictionaries.ordinary
+    assert len(model.dictionaries.toxic) == len(model.dictionaries.ordinary)
+    rows = toxicity.score(docs, model).collect()
+    assert all(r.predicted == (r.doc_id % 4 == 0) for r in rows)
+
+
+def test_an_id_with_both_labels_is_toxic_and_copies_train_once(spark, docs_of):
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5][:4]
+    docs = docs_of(*zip(ids, ["a", "b", "b", None]))
+    labels = spark.createDataFrame(
+        [(ids[0], 1), (ids[0], 0), (ids[1], 0), (ids[2], 0), (ids[3], 0)], "doc_id long, toxic int"
+    )
+    rows = toxicity._sample(docs, labels).collect()
+    assert sorted((r.text, r.doc_id, r.toxic) for r in rows) == [
+        ("", ids[3], 0), ("a", ids[0], 1), ("b", ids[1], 0)
+    ]
+
+
 def test_toxicity_of_odd_rows(spark, docs_of):
     docs = docs_of((1, None), (2, ""), (None, "you idiot"), (2, ""), (3, "é " * 30000))
     none = spark.createDataFrame([], "doc_id long, toxic int")
