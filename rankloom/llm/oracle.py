@@ -26,7 +26,7 @@ def _passes(rule: Rule) -> str:
         sides.append(f"100 * {rule.measure} >= {rule.low} * {rule.base}")
     if rule.high is not None:
         sides.append(f"100 * {rule.measure} <= {rule.high} * {rule.base}")
-    return " AND ".join(sides)
+    return f"{rule.base} < {rule.least} OR {' AND '.join(sides)}"
 
 
 _QUALITY = rf"""

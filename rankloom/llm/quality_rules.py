@@ -42,14 +42,21 @@ STOP_FORMS = tuple(
 
 
 class Rule(NamedTuple):
-    """`low` <= 100 * measure / base <= `high`; None leaves a side open."""
+    """`low` <= 100 * measure / base <= `high`; None leaves a side open.
+
+    A base of less than `least` says too little to be judged.
+    """
 
     name: str
     measure: str
     base: str
     low: int | None
     high: int | None
+    least: int = 0
+
 
+# Shares of lines are judged from this many lines on: one of three repeated is no pattern.
+LEAST_LINES = 10
 
 RULES = (
     Rule("word_length", "word_chars", "n_words", 200, 1500),
@@ -57,9 +64,9 @@ RULES = (
     Rule("exclamations", "n_marks", "n_words", None, 30),
     Rule("capitals", "n_capitals", "word_chars", None, 50),
     Rule("stop_words", "n_stop_words", "n_words", 4, None),
-    Rule("repeated_lines", "n_dup_lines", "n_lines", None, 30),
-    Rule("bullet_lines", "n_bullet_lines", "n_lines", None, 90),
-    Rule("ellipsis_lines", "n_ellipsis_lines", "n_lines", None, 30),
+    Rule("repeated_lines", "n_dup_lines", "n_lines", None, 30, LEAST_LINES),
+    Rule("bullet_lines", "n_bullet_lines", "n_lines", None, 90, LEAST_LINES),
+    Rule("ellipsis_lines", "n_ellipsis_lines", "n_lines", None, 30, LEAST_LINES),
 )
 
 
@@ -150,7 +157,7 @@ def _passes(rule: Rule) -> Column:
         sides.append(share >= rule.low * base)
     if rule.high is not None:
         sides.append(share <= rule.high * base)
-    return reduce(and_, sides)
+    return (base < rule.least) | reduce(and_, sides)
 
 
 def _judged(docs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
