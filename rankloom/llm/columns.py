@@ -51,6 +51,53 @@ def sum_of(numbers: Column, kind: str = "long") -> Column:
     return F.aggregate(numbers, F.lit(0).cast(kind), lambda total, x: total + x)
 
 
+def running(values: Column, zero: int, combine: Callable[[Column, Column], Column]) -> Column:
+    """Per place of an array of whole numbers, what `combine` makes of all before it.
+
+    `combine` is associative, and `zero` its neutral element. An array that grows is copied at every
+    step, so each chunk has one of its own, and so has what the chunks come to.
+    """
+    numbers = "array<bigint>"
+
+    def scan(part: Column) -> Column:
+        start = F.struct(
+            F.lit(zero).cast("long").alias("total"), F.array().cast(numbers).alias("before")
+        )
+        return F.aggregate(
+            part,
+            start,
+            lambda state, x: F.struct(
+                combine(state["total"], x).cast("long").alias("total"),
+                F.array_append(state["before"], state["total"]).alias("before"),
+            ),
+        )
+
+    def joined(chunks: Column) -> Column:
+        offsets = scan(F.transform(chunks, lambda c: c["total"]))["before"]
+        return F.flatten(
+            F.zip_with(
+                chunks, offsets, lambda c, o: F.transform(c["before"], lambda b: combine(o, b))
+            )
+        )
+
+    def chunked(values: Column) -> Column:
+        n = F.size(values)
+        length = F.greatest(F.lit(16), F.ceil(F.cbrt(n)).cast("int"))
+        starts = F.sequence(F.lit(0), n - 1, length)
+        chunks = F.transform(starts, lambda at: scan(F.slice(values, at + 1, length)))
+        return F.when(n > 0, let(chunks, joined)).otherwise(F.array().cast(numbers))
+
+    return let(values, chunked)
+
+
+def running_sum(values: Column) -> Column:
+    return running(values, 0, lambda a, b: a + b)
+
+
+def running_max(values: Column, zero: int) -> Column:
+    return running(values, zero, lambda a, b: F.greatest(a, b))
+
+
 def matches(text: Column, pattern: Column, size: Callable[[Column], Column] = F.length) -> Column:
     """Leftmost non-overlapping matches: array of (text, start, end), measured by `size`.
 
@@ -58,20 +105,30 @@ def matches(text: Column, pattern: Column, size: Callable[[Column], Column] = F.
     occur in the text. The pattern must not match an empty string.
     """
     found = F.regexp_extract_all(text, pattern, F.lit(0))
-    zero = F.struct(
-        F.lit(0).cast("long").alias("at"),
-        F.array().cast("array<struct<text:string,start:bigint,end:bigint>>").alias("spans"),
-    )
-
-    def step(state: Column, item: Column) -> Column:
-        start = state["at"] + size(item["gap"])
-        end = start + size(item["hit"])
-        span = F.struct(item["hit"].alias("text"), start.alias("start"), end.alias("end"))
-        return F.struct(end.alias("at"), F.array_append(state["spans"], span).alias("spans"))
 
     def walk(hits: Column) -> Column:
         gaps = F.slice(F.split(text, pattern, -1), 1, F.size(hits))
-        pairs = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"))
-        return F.aggregate(pairs, zero, step, lambda state: state["spans"])
+        sized = F.zip_with(
+            gaps,
+            hits,
+            lambda gap, hit: F.struct(
+                hit.alias("hit"),
+                size(gap).cast("long").alias("gap"),
+                size(hit).cast("long").alias("size"),
+            ),
+        )
+        return let(sized, place)
+
+    def place(sized: Column) -> Column:
+        before = running_sum(F.transform(sized, lambda s: s["gap"] + s["size"]))
+        return F.zip_with(
+            sized,
+            before,
+            lambda s, at: F.struct(
+                s["hit"].alias("text"),
+                (at + s["gap"]).alias("start"),
+                (at + s["gap"] + s["size"]).alias("end"),
+            ),
+        )
 
     return let(found, walk)

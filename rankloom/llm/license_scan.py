@@ -9,6 +9,7 @@ one of higher priority stays. All of it is one projection: no row is exploded or
 shuffled.
 
 Defined results: null and empty texts have no words, no places and score 0.
+The time for a text grows with its length, and with the power 4/3 of its number of matches.
 Repeated rows are judged each by itself; other columns are not looked at.
 """
 
@@ -27,6 +28,8 @@ from rankloom.llm.columns import (
     ascii_lower,
     let,
     matches,
+    running_max,
+    running_sum,
     spaced_words,
     spaces,
     whole,
@@ -204,16 +207,15 @@ def _phrase_places(spaced: Column, phrase: str) -> Column:
     """First words of a phrase's occurrences, overlapping ones too."""
     nowhere = F.array().cast("array<bigint>")
     pieces = F.split(spaced, f"(?= {phrase} )")
-    zero = F.struct(F.lit(0).cast("long").alias("at"), nowhere.alias("found"))
 
-    def step(state: Column, piece: Column) -> Column:
-        here = F.when(piece.rlike(f"^ {phrase}(?: |$)"), F.array(state["at"])).otherwise(nowhere)
-        return F.struct(
-            (state["at"] + spaces(piece)).alias("at"), F.concat(state["found"], here).alias("found")
+    def placed(pieces: Column) -> Column:
+        before = running_sum(F.transform(pieces, lambda p: spaces(p).cast("long")))
+        here = F.zip_with(
+            pieces, before, lambda p, at: F.when(p.rlike(f"^ {phrase}(?: |$)"), at)
         )
+        return F.array_compact(here)
 
-    found = F.aggregate(pieces, zero, step, lambda state: state["found"])
-    return F.when(F.contains(spaced, F.lit(f" {phrase} ")), found).otherwise(nowhere)
+    return F.when(F.contains(spaced, F.lit(f" {phrase} ")), let(pieces, placed)).otherwise(nowhere)
 
 
 def _detections(spaced: Column, rules: tuple[Rule, ...]) -> Column:
@@ -247,21 +249,25 @@ def _detections(spaced: Column, rules: tuple[Rule, ...]) -> Column:
 
 def _uncontained(detections: Column) -> Column:
     """Detections that no longer one contains, in order, as (start, end, label, confidence)."""
-    kind = "array<struct<start:bigint,end:bigint,label:string,confidence:int>>"
-    zero = F.struct(F.lit(-1).cast("long").alias("reach"), F.array().cast(kind).alias("kept"))
-
-    def step(state: Column, d: Column) -> Column:
-        end = -d["before_end"]
-        span = F.struct(
-            d["start"].alias("start"),
-            end.alias("end"),
-            d["label"].alias("label"),
-            d["confidence"].alias("confidence"),
+
+    def kept(ordered: Column) -> Column:
+        reach = running_max(F.transform(ordered, lambda d: -d["before_end"]), -1)
+        spans = F.zip_with(
+            ordered,
+            reach,
+            lambda d, reach: F.when(
+                -d["before_end"] > reach,
+                F.struct(
+                    d["start"].alias("start"),
+                    (-d["before_end"]).alias("end"),
+                    d["label"].alias("label"),
+                    d["confidence"].alias("confidence"),
+                ),
+            ),
         )
-        beyond = F.struct(end.alias("reach"), F.array_append(state["kept"], span).alias("kept"))
-        return F.when(end > state["reach"], beyond).otherwise(state)
+        return F.array_compact(spans)
 
-    return F.aggregate(F.array_sort(detections), zero, step, lambda state: state["kept"])
+    return let(F.array_sort(detections), kept)
 
 
 def _joined(labels: Column) -> Column:

@@ -4,11 +4,12 @@ A window slides over every candidate run. Its Shannon entropy follows from the
 counts of its characters: a step takes one out and puts one in, which changes
 two terms of the sum of c * log2(c). The sum is kept in whole numbers (a table
 of rounded values times 2^16), so no step adds an error. Each class of
-characters has its own threshold. Runs on the allow-list and runs that a fixed
-pattern has found are suppressed. All of it is one projection of built-in
+characters has its own threshold. Runs on the allow-list, windows with a piece on it and
+runs that a fixed pattern has found are suppressed. All of it is one projection of built-in
 functions.
 
-Defined results: null and empty texts have no spans. Positions are code points,
+Defined results: null and empty texts have no spans. The time for a text grows with its length,
+and with the power 4/3 of its number of spans. Positions are code points,
 ends exclusive. Repeated rows are judged each by itself; other columns are not
 looked at.
 """
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.functions.text import parse_once
-from rankloom.llm.columns import let, matches, whole
+from rankloom.llm.columns import let, matches, running_max, whole
 
 # The patterns, and how long what they find must be.
 ASSIGN = (
@@ -50,20 +51,22 @@ class CharacterClass(NamedTuple):
 
 # The first that fits counts.
 CLASSES = (
-    CharacterClass("digits", r"^[0-9]+$", 3.1),
     CharacterClass("hexadecimal", r"^[0-9A-Fa-f]+$", 3.0),
     CharacterClass("one case", r"^(?:[0-9a-z+/_-]+|[0-9A-Z+/_-]+)=*$", 3.8),
     CharacterClass("mixed", r"^[A-Za-z0-9+/_-]+=*$", 3.9),
 )
 
-# Runs that are random or long by nature and no secrets.
+# Runs that are random or long by nature and no secrets: identifiers, numbers, words of one case, words
+# joined by signs, words joined by capitals. Repetition gives nothing back, so long runs need no stack.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"^[^0-9]*$",
     r"^[0-9]+$",
-    r"^(?:[A-Za-z]+[0-9]{0,4}[/_-]+)+[A-Za-z]*[0-9]{0,4}$",
-    r"(?i)example|0123456789|abcdefghij|(.)\1{7}",
+    r"^(?:[a-z+/_-]+|[A-Z+/_-]+)=*$",
+    r"^(?:[A-Za-z]++[0-9]{0,4}+[/_-]++)++[A-Za-z]*[0-9]{0,4}$",
+    r"^(?:[A-Z]?+[a-z]++|[+/_-]++)++=*$",
 )
+# Pieces that no window is judged with.
+ALLOWED_PIECE = r"(?i)example|0123456789|abcdefghij|(.)\1{7,}"
 
 KINDS = ("assign", "access", "hex", "entropy")
 
@@ -125,7 +128,51 @@ def _suspect(run: Column) -> Column:
     most = F.lit(-1)
     for kind in reversed(CLASSES):
         most = F.when(run.rlike(kind.pattern), largest_sum(kind.bits)).otherwise(most)
-    return F.when(allowed, False).otherwise(_least_sum(run) <= most)
+    pieces = F.filter(F.split(run, ALLOWED_PIECE), lambda piece: F.length(piece) >= WINDOW)
+    return F.when(allowed, False).otherwise(
+        let(most, lambda most: F.exists(pieces, lambda piece: _least_sum(piece) <= most))
+    )
+
+
+def _untouched(runs: Column, base: Column) -> Column:
+    """The runs that share no character with a span of the base; runs do not overlap each other.
+
+    In the order of their starts, a span that touches a run is the next one or one of those before
+    that reaches beyond the run's start.
+    """
+    nothing = F.lit(None).cast("string")
+    marks = F.concat(
+        F.transform(
+            base,
+            lambda b: F.struct(
+                b["start"].alias("start"), F.lit(0).alias("run"), b["end"].alias("end"), nothing.alias("text")
+            ),
+        ),
+        F.transform(
+            runs,
+            lambda r: F.struct(
+                r["start"].alias("start"), F.lit(1).alias("run"), r["end"].alias("end"), r["text"].alias("text")
+            ),
+        ),
+    )
+
+    def sweep(marks: Column) -> Column:
+        ends = F.transform(marks, lambda m: F.when(m["run"] == 0, m["end"]).otherwise(0))
+
+        def free(reached: Column) -> Column:
+            return F.filter(
+                marks,
+                lambda m, i: (m["run"] == 1)
+                & (F.get(reached, i) <= m["start"])
+                & ~F.coalesce(
+                    (F.get(marks, i + 1)["run"] == 0) & (F.get(marks, i + 1)["start"] < m["end"]),
+                    F.lit(False),
+                ),
+            )
+
+        return let(running_max(ends, 0), free)
+
+    return let(F.sort_array(marks), sweep)
 
 
 def _spans(found: Column, kind: str) -> Column:
@@ -193,10 +240,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
     def beyond(base: Column) -> Column:
         """Suspect runs that touch no span of the base."""
-        free = F.filter(
-            matches(text, F.lit(CANDIDATE)),
-            lambda m: ~F.exists(base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])),
-        )
+        free = _untouched(matches(text, F.lit(CANDIDATE)), base)
         return _spans(F.filter(free, lambda m: _suspect(m["text"])), "entropy")
 
     base = F.concat("_assign", "_access", "_hex")

@@ -13,6 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rankloom.llm import license_scan, quality_rules, secret_scan, url_filters
+from rankloom.llm.columns import running_max, running_sum
 
 LONG = "the cat and the dog sat on a mat in the sun with " * 3000
 TEXTS = [
@@ -65,6 +66,18 @@ def test_quality_measures_of_any_text(spark, texts):
     assert got == {i: quality_by_hand(t) for i, t in enumerate(texts)}
 
 
+def test_shares_of_lines_need_lines(docs_of):
+    """Of three lines one may repeat; of ten or more, three in ten."""
+    sentence = "the cat sat on the mat and looked at {} birds in a row of trees that the wind had bent"
+    lines = [sentence.format(i) for i in range(10)]
+    few = "\n".join([lines[0], "the end", "the end"])
+    edge = "\n".join([*lines, *["to be"] * 4])
+    many = "\n".join([*lines, *["to be"] * 6])
+    rows = quality_rules.apply_rules(docs_of((1, few), (2, edge), (3, many))).collect()
+    failed = {r.doc_id: "repeated_lines" in r.failed_rules for r in rows}
+    assert failed == {1: False, 2: False, 3: True}
+
+
 def test_quality_keeps_rows_as_they_came(docs_of):
     good = TEXTS[6]
     docs = docs_of((1, good), (2, "| " + " | ".join(good.split())), (3, None), (1, good))
@@ -296,3 +309,63 @@ def test_urls_without_rules_or_pages(spark, rules):
     pages = spark.createDataFrame([(1, URLS[2])], "page_id long, url string")
     assert url_filters.judge(pages, rules.limit(0), "block").first().verdict == "block"
     assert url_filters.judge(pages.limit(0), rules).count() == 0
+
+
+def test_letters_alone_and_repeated_pieces(docs_of):
+    """Random letters are found, words joined by capitals are not, and a piece hides its windows only."""
+    found = {
+        "key qXvBnZWkTrLpYdFgHsJcMaQeRuVi x": "entropy:4:32",
+        "getElementByIdAndReplaceAllOfThem": "",
+        "donaudampfschifffahrtsgesellschaft": "",
+        "AAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAA9": "",
+        "b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQAAAAAAAAABAAAAMwAAAAtzc2gtZW": "entropy:0:70",
+    }
+    rows = secret_scan.scan(docs_of(*enumerate(found))).collect()
+    assert {r.doc_id: r.spans for r in rows} == dict(enumerate(found.values()))
+
+
+@given(
+    st.lists(st.tuples(st.integers(0, 60), st.integers(1, 20)), max_size=25),
+    st.lists(st.tuples(st.integers(0, 9), st.integers(1, 9)), max_size=25),
+)
+@settings(max_examples=8, deadline=None)
+def test_runs_that_no_base_span_touches(spark, base, steps):
+    base = [(start, 0, start + size) for start, size in base]
+    runs, at = [], 0
+    for gap, size in steps:
+        runs.append((str(at + gap), at + gap, at + gap + size))
+        at += gap + size
+    frame = spark.createDataFrame(
+        [(base, runs)],
+        "base array<struct<start:bigint,kind:int,end:bigint>>, "
+        "runs array<struct<text:string,start:bigint,end:bigint>>",
+    )
+    got = frame.select(secret_scan._untouched(F.col("runs"), F.col("base")).alias("u")).first().u
+    free = [(s, e) for _, s, e in runs if not any(b < e and s < end for b, _, end in base)]
+    assert [(r.start, r.end) for r in got] == free
+
+
+@given(st.lists(st.integers(-50, 50), max_size=200))
+@settings(max_examples=8, deadline=None)
+def test_running_values(spark, numbers):
+    frame = spark.createDataFrame([(numbers,)], "v array<bigint>")
+    row = frame.select(
+        running_sum(F.col("v")).alias("sums"), running_max(F.col("v"), -1).alias("most")
+    ).first()
+    assert row.sums == [sum(numbers[:i]) for i in range(len(numbers))]
+    assert row.most == [max([-1, *numbers[:i]]) for i in range(len(numbers))]
+
+
+def test_long_texts_of_many_spans(docs_of):
+    n = 40_000
+    secrets = secret_scan.scan(docs_of((1, "0123456789abcdef01234567 " * n))).first()
+    assert secrets.n_hex == n and secrets.spans.endswith(f"hex:{25 * n - 25}:{25 * n - 1}")
+    licenses = license_scan.scan(docs_of((1, "all rights reserved under the mit license " * n))).first()
+    assert licenses.n_base == n and licenses.last_word == 7 * (n - 1)
+    assert len(licenses.detections) >= n
+
+
+def test_scans_of_an_empty_table(docs_of):
+    nothing = docs_of((1, "a")).limit(0)
+    assert secret_scan.scan(nothing).count() == 0
+    assert license_scan.scan(nothing).count() == 0
