@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankloom.schemas import NA_WORDS
+from rankloom.schemas import FEED, NA_WORDS
 
 # Quotes are doubled inside quoted fields, and blanks around a value are data.
 CSV_OPTIONS = {
@@ -42,7 +45,8 @@ def parsable(line: Column) -> Column:
 def whole_number(text: Column) -> Column:
     """64-bit integers, also written with a fraction of zeros (`795.0`), else NULL."""
     digits = F.regexp_extract(text, r"^\s*([+-]?[0-9]+)\.0*\s*$", 1)
-    return F.coalesce(text.try_cast("bigint"), digits.try_cast("bigint"))
+    fraction = F.when(text.contains("."), digits.try_cast("bigint"))
+    return F.coalesce(text.try_cast("bigint"), fraction)
 
 
 def typed(text: Column, kind: T.DataType) -> Column:
@@ -61,3 +65,19 @@ def parse_once(parsed: Column) -> Column:
     once for each of them. Filters cannot move below a generator.
     """
     return F.inline(F.array(parsed))
+
+
+def typed_once(cells: DataFrame, *also: str) -> DataFrame:
+    """Cells of text in the feed's types, and as text in `_word_...`; columns kept `also`.
+
+    Behind a generator, so that filters on the typed values do not repeat the casts.
+    """
+    words = cells.select(*also, *[F.col(name).alias(f"_word_{name}") for name in FEED.names])
+    values = [typed(F.col(f"_word_{f.name}"), f.dataType).alias(f.name) for f in FEED]
+    return words.select("*", parse_once(F.struct(*values)))
+
+
+def is_mistyped() -> Column:
+    """Whether a row of `typed_once` has text where a number belongs."""
+    numbers = [f.name for f in FEED if not isinstance(f.dataType, T.StringType)]
+    return reduce(or_, [F.col(f"_word_{n}").isNotNull() & F.col(n).isNull() for n in numbers])

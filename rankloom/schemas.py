@@ -42,24 +42,6 @@ RAW_LANDING = _struct(
     difference=_text,
 )
 
-# A payload document. One array under `rank`. Every value is text but
-# `difference`, which is a number and may be absent.
-PAYLOAD = T.StructType(
-    [
-        T.StructField(
-            "rank",
-            T.ArrayType(
-                T.StructType(
-                    [
-                        T.StructField(f.name, _double if f.name == "difference" else _text)
-                        for f in FEED
-                    ]
-                )
-            ),
-        )
-    ]
-)
-
 # Columns of the dimensions, the facts and the mart.
 PLAYER_DIM = _struct(player_id=_long, first_name=_text, last_name=_text)
 PLAYER_DIM_IMAGE = _struct(player_id=_long, first_name=_text, last_name=_text, face_image_id=_text)

@@ -3,7 +3,7 @@
 from rankloom.sources.lines import accepted, decode_csv, decode_lines, read_feed_csv, read_lines
 from rankloom.sources.lines import rejected
 from rankloom.sources.lines import without_headers
-from rankloom.sources.payload import decode_payload, flatten_payload, parse_payload, read_payload
+from rankloom.sources.payload import decode_payload, flatten_payload, read_payload
 from rankloom.sources.status import decode_status, encode_status, mark_status
 from rankloom.sources.status import rejected_status
 
@@ -16,7 +16,6 @@ __all__ = [
     "encode_status",
     "flatten_payload",
     "mark_status",
-    "parse_payload",
     "read_feed_csv",
     "read_lines",
     "read_payload",

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.functions.text import CSV_OPTIONS, count_fields, count_of, csv_line, na_to_null
-from rankloom.functions.text import parsable, parse_once, typed
+from rankloom.functions.text import CSV_OPTIONS, count_fields, count_of, csv_line, is_mistyped
+from rankloom.functions.text import na_to_null, parsable, parse_once, typed_once
 from rankloom.schemas import FEED
 from rankloom.sources.records import csv_records, has_odd_lines
 
@@ -103,21 +103,13 @@ def _typed(
     cells: DataFrame, faults: list[tuple[Column, str]], also: Sequence[str] = ()
 ) -> DataFrame:
     """Cells of text in the contract's types, with `raw_line` and the first fault's reason."""
-    words = {name: na_to_null(F.col(name)) for name in FEED.names}
-    values = {f.name: typed(words[f.name], f.dataType) for f in FEED}
-    mistyped = F.lit(False)
-    for name in FEED.names:
-        if FEED[name].dataType.typeName() != "string":
-            mistyped = mistyped | (words[name].isNotNull() & values[name].isNull())
+    kept = [name for name in cells.columns if name not in FEED.names]
+    words = [na_to_null(F.col(name)).alias(name) for name in FEED.names]
+    typed = typed_once(cells.select(*kept, parse_once(F.struct(*words))), *kept)
     reason = F.lit(None).cast("string")
-    for fault, text in reversed([*faults, (mistyped, "not a number")]):
+    for fault, text in reversed([*faults, (is_mistyped(), "not a number")]):
         reason = F.when(fault, text).otherwise(reason)
-    return cells.select(
-        *[values[name].alias(name) for name in FEED.names],
-        "raw_line",
-        reason.alias("reject_reason"),
-        *also,
-    )
+    return typed.select(*FEED.names, "raw_line", reason.alias("reject_reason"), *also)
 
 
 def accepted(decoded: DataFrame) -> DataFrame:

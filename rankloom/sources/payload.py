@@ -3,19 +3,15 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from rankloom.functions.text import parse_once, typed
-from rankloom.schemas import FEED, PAYLOAD
+from rankloom.functions.text import is_mistyped, parse_once, typed_once
+from rankloom.schemas import FEED
 from rankloom.sources.lines import accepted
 
-# Values are taken as text and typed afterwards, so a wrong one spoils its record alone.
-_RECORD = T.MapType(T.StringType(), T.StringType())
-
 
 def read_payload(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
     """Documents from files, as text in `value`: one per file, or one per line.
@@ -25,9 +21,32 @@ def read_payload(spark: SparkSession, path: str, one_per_file: bool = True) -> D
     return spark.read.text(path, wholetext=one_per_file)
 
 
-def parse_payload(texts: DataFrame, column: str = "value") -> DataFrame:
-    """Documents parsed strictly to `rank`; NULL where that fails."""
-    return texts.select(parse_once(F.from_json(column, PAYLOAD)))
+def _records(texts: DataFrame, column: str) -> DataFrame:
+    """A `record` per element of `rank`; `text` and `fault` of documents that have no list there."""
+    parsed = texts.where(F.col(column).isNotNull()).select(
+        F.col(column).alias("text"),
+        parse_once(F.struct(F.try_parse_json(column).alias("document"))),
+    )
+    listed = parsed.select(
+        "text",
+        parse_once(
+            F.struct(
+                (F.col("document").isNotNull() & F.col("text").rlike(r"^\s*\{")).alias("is_object"),
+                F.try_variant_get("document", "$.rank", "variant").alias("rank"),
+                F.try_variant_get("document", "$.rank", "array<variant>").alias("records"),
+            )
+        ),
+    )
+    no_list = F.col("records").isNull() & F.col("rank").isNotNull() & ~F.is_variant_null("rank")
+    fault = F.when(~F.col("is_object"), "broken document").when(no_list, "rank is no list")
+
+    def row(record: Column, text: Column, fault: Column) -> Column:
+        return F.struct(record.alias("record"), text.alias("text"), fault.alias("fault"))
+
+    nothing = F.lit(None).cast("string")
+    whole = F.array(row(F.lit(None).cast("variant"), F.col("text"), fault))
+    each = F.transform("records", lambda r: row(r, nothing, nothing))
+    return listed.select(F.inline(F.when(fault.isNotNull(), whole).otherwise(each)))
 
 
 def decode_payload(texts: DataFrame, column: str = "value") -> DataFrame:
@@ -35,50 +54,26 @@ def decode_payload(texts: DataFrame, column: str = "value") -> DataFrame:
 
     A document that is no JSON object, one whose `rank` is no array of objects, and a
     record with text where a number belongs are marked, each with its own text. No
-    `rank` key, or an empty array, means no rows.
+    `rank` key, or an empty array, means no rows. A record's text is written anew: its keys
+    are sorted, and numbers have no zeros at the end of a fraction.
+
+    A document is parsed once, and a record's values are taken as text and typed
+    afterwards, so that a wrong one spoils its record alone.
     """
-    text = F.col(column)
-    body = F.get_json_object(text, "$.rank")
-    listed = F.from_json(body, T.ArrayType(T.StringType()))
-    object_like = F.try_parse_json(text).isNotNull() & F.trim(text).startswith("{")
-    fault = (
-        F.when(~F.coalesce(object_like, F.lit(False)), "broken document")
-        .when(body.isNull(), None)
-        .when(~F.ltrim(body).startswith("[") | listed.isNull(), "rank is no list")
-    )
-    whole = F.array(F.struct(text.alias("raw_line"), fault.alias("fault")))
-    each = F.transform(
-        F.coalesce(listed, F.array().cast("array<string>")),
-        lambda r: F.struct(r.alias("raw_line"), F.lit(None).cast("string").alias("fault")),
-    )
-    rows = texts.where(text.isNotNull()).select(
-        F.inline(F.when(fault.isNotNull(), whole).otherwise(each))
-    )
-    cells = rows.select(
-        "raw_line",
-        "fault",
-        parse_once(F.struct(F.from_json("raw_line", _RECORD).alias("record"))),
-    )
-    words = {f.name: F.try_element_at(F.col("record"), F.lit(f.name)) for f in FEED}
-    values = {f.name: typed(words[f.name], f.dataType) for f in FEED}
-    mistyped = reduce(
-        or_,
-        [
-            words[f.name].isNotNull() & values[f.name].isNull()
-            for f in FEED
-            if not isinstance(f.dataType, T.StringType)
-        ],
+    words = {name: F.try_variant_get("record", f"$.{name}", "string") for name in FEED.names}
+    cells = _records(texts, column).select(
+        "record", "text", "fault", parse_once(F.struct(*[w.alias(n) for n, w in words.items()]))
     )
+    typed = typed_once(cells, "record", "text", "fault")
+    raw = F.coalesce("text", F.to_json("record"))
+    # Only a record without any of the columns may be something else than an object.
+    bare = reduce(and_, [F.col(f"_word_{name}").isNull() for name in FEED.names])
     reason = (
         F.when(F.col("fault").isNotNull(), F.col("fault"))
-        .when(F.col("record").isNull() | ~F.ltrim("raw_line").startswith("{"), "no record")
-        .when(mistyped, "not a number")
-    )
-    return cells.select(
-        *[values[name].alias(name) for name in FEED.names],
-        "raw_line",
-        reason.alias("reject_reason"),
+        .when(bare & ~F.coalesce(raw, F.lit("")).startswith("{"), "no record")
+        .when(is_mistyped(), "not a number")
     )
+    return typed.select(*FEED.names, raw.alias("raw_line"), reason.alias("reject_reason"))
 
 
 def flatten_payload(texts: DataFrame, column: str = "value") -> DataFrame:
