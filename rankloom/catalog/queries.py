@@ -337,23 +337,18 @@ def datetime_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def tagged_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tagged = ops.tag_records(_tables(spark, sf_dir))
+    tagged = _tagged(spark, sf_dir)
     return tagged.groupBy("type").agg(F.count("*").alias("n"))
 
 
 @query
 def tagged_rankings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.records_of(ops.tag_records(_tables(spark, sf_dir)), "ranking", RANKINGS)
+    return ops.records_of(ops.stage_tagged(_tagged(spark, sf_dir)), "ranking", RANKINGS)
 
 
-def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    star = _star(spark, sf_dir)
-    return {
-        "player": star.player_dim,
-        "country": star.country_dim,
-        "date": star.date_dim,
-        "ranking": star.rankings,
-    }
+def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stage(_filled(spark, sf_dir), "rows")
+    return ops.tag_rows(rows, stage(ops.date_dim(rows), "dates"))
 
 
 # --- mart and reports -------------------------------------------------------

@@ -9,7 +9,7 @@ from rankloom.operators.numbering import number_rows
 from rankloom.operators.preview import preview
 from rankloom.operators.profile import column_profile, profile
 from rankloom.operators.records import json_records
-from rankloom.operators.tagged import records_of, tag_records
+from rankloom.operators.tagged import records_of, stage_tagged, tag_records, tag_rows
 
 __all__ = [
     "best_per_group",
@@ -29,5 +29,7 @@ __all__ = [
     "profile",
     "rankings",
     "records_of",
+    "stage_tagged",
     "tag_records",
+    "tag_rows",
 ]

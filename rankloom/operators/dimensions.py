@@ -6,7 +6,7 @@ that fills a third of the feed reaches the shuffle once per task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -16,8 +16,7 @@ from rankloom.operators.numbering import number_rows
 from rankloom.schemas import DATE_DIM, DATETIME_DIM
 
 
-def player_dim(rows: DataFrame, with_image: bool = False) -> DataFrame:
-    """One row per distinct player; the image id, where asked for, parts versions."""
+def player_columns(with_image: bool = False) -> list[Column]:
     columns = [
         F.col("id").alias("player_id"),
         first_name(F.col("name")).alias("first_name"),
@@ -25,11 +24,20 @@ def player_dim(rows: DataFrame, with_image: bool = False) -> DataFrame:
     ]
     if with_image:
         columns.append(F.col("faceImageId").alias("face_image_id"))
-    return rows.select(*columns).distinct()
+    return columns
+
+
+def player_dim(rows: DataFrame, with_image: bool = False) -> DataFrame:
+    """One row per distinct player; the image id, where asked for, parts versions."""
+    return rows.select(*player_columns(with_image)).distinct()
+
+
+def country_columns() -> list[Column]:
+    return [F.col("countryId").alias("country_id"), F.col("country")]
 
 
 def country_dim(rows: DataFrame) -> DataFrame:
-    return rows.select(F.col("countryId").alias("country_id"), "country").distinct()
+    return rows.select(*country_columns()).distinct()
 
 
 def date_dim(rows: DataFrame, known: DataFrame | None = None) -> DataFrame:

@@ -63,14 +63,14 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return path
 
 
-def _written(df: DataFrame, folder: str) -> DataFrame:
-    df.write.parquet(f"{folder}/data")
-    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/data")
+def _written(df: DataFrame, folder: str, *by: str) -> DataFrame:
+    df.write.partitionBy(*by).parquet(f"{folder}/data")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/data").select(*df.columns)
 
 
-def stage(df: DataFrame, label: str = "stage") -> DataFrame:
-    """Write `df` once and continue from the written table."""
-    return _written(df, fresh_folder(df.sparkSession, label))
+def stage(df: DataFrame, label: str = "stage", by: str | None = None) -> DataFrame:
+    """Write `df` once, partitioned where a column is given, and continue from the written table."""
+    return _written(df, fresh_folder(df.sparkSession, label), *([by] if by else []))
 
 
 @contextmanager

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -12,7 +13,8 @@ from samples import FIRST_DAY, SECOND_DAY
 from rankloom import operators as ops
 from rankloom import plans, sources
 from rankloom.functions import coerce_date
-from rankloom.schemas import DATE_DIM
+from rankloom.schemas import COUNTRY_DIM, DATE_DIM, PLAYER_DIM, RANKINGS
+from rankloom.staging import stage
 
 
 @pytest.fixture
@@ -130,6 +132,35 @@ def test_tagged_records_come_back_whole(sample):
     assert sorted(back.collect()) == sorted(star.date_dim.collect())
 
 
+def test_rows_are_tagged_in_one_pass(spark, feed_of):
+    filled = ops.fill_defaults(
+        feed_of(
+            *[{"id": 1, "name": "A B", "lastUpdatedOn": "2024-12-26", "difference": 0.0}] * 3,
+            {"id": 1, "name": "A B", "lastUpdatedOn": "2024-12-26", "difference": -0.0},
+            {"id": 2, "name": None, "lastUpdatedOn": "never", "countryId": 4, "country": "C"},
+        )
+    )
+    rows = stage(filled, "rows")
+    dates = stage(ops.date_dim(rows), "dates")
+    tagged = ops.tag_rows(rows, dates)
+    plan = tagged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 2
+    star = plans.build_star(filled)
+    stored = ops.stage_tagged(tagged)
+    for kind, table, schema in (
+        ("player", star.player_dim, PLAYER_DIM),
+        ("country", star.country_dim, COUNTRY_DIM),
+        ("date", star.date_dim, DATE_DIM),
+        ("ranking", star.rankings, RANKINGS),
+    ):
+        back = ops.records_of(stored, kind, schema)
+        assert Counter(back.collect()) == Counter(table.collect())
+        read = back._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(type#" in read and f"= {kind})]" in read
+    nothing = ops.tag_rows(rows.limit(0), dates)
+    assert nothing.isEmpty()
+
+
 def test_profile(sample):
     row = ops.profile(sample, "updated_on").first()
     assert (row.n_rows, row.n_columns, row.updated_on_distinct, row.difference_filled) == (
