@@ -28,6 +28,11 @@ def coerce_date(text: Column, patterns: Sequence[str] = ()) -> Column:
     return coerce_timestamp(text, patterns).cast("date")
 
 
+def month_key(day: Column) -> Column:
+    """Months since year 0, 0 for no day: at most some 7,000 values by the range of dates."""
+    return F.coalesce(F.year(day) * 12 + F.month(day), F.lit(0)).cast("bigint")
+
+
 def calendar_fields(day: Column) -> dict[str, Column]:
     """The attributes a calendar row carries besides its key."""
     return {

@@ -39,7 +39,10 @@ def new_dates(rows: DataFrame, known: DataFrame) -> DataFrame:
     return date_dim(_unknown(rows, known), known)
 
 
-def new_datetimes(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """Calendar rows for the timestamps not in `known`, numbered after them."""
-    last = known.agg(F.max("date_id").alias("id")).first().id or 0
-    return datetime_dim(_unknown(rows, known), "updated_on", last)
+def new_datetimes(rows: DataFrame, known: DataFrame, last: DataFrame) -> DataFrame:
+    """Calendar rows for the timestamps not in `known`, numbered after the highest key in `last`.
+
+    `known` need only hold the days of `rows`.
+    """
+    start = last.agg(F.max("date_id").alias("id")).first().id or 0
+    return datetime_dim(_unknown(rows, known), "updated_on", start)

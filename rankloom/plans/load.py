@@ -44,8 +44,7 @@ def _load(
 
     With `deliveries`, rows have the `delivery` they came in, and those are noted as loaded.
     """
-    calendar, new = ("datetime_dim", new_datetimes) if timed else ("date_dim", new_dates)
-    known = warehouse.read(calendar)
+    calendar = "datetime_dim" if timed else "date_dim"
     rows = fill_defaults(marked, date_patterns, keep_time=timed)
     undated = F.col("reject_reason").isNull() & F.col("updated_on").isNull()
     reason = F.when(undated, UNDATED).otherwise(F.col("reject_reason"))
@@ -56,11 +55,21 @@ def _load(
         }
     )
     with scratch(warehouse.spark) as stage:
+        if timed:
+            # The rows name the months of the calendar to read, which has no bound as a whole.
+            rows = stage(rows, "timed")
+            known = warehouse.read_months(calendar, rows.select("updated_on"))
+        else:
+            known = warehouse.read(calendar)
         fresh = stage(only_new(rows, known), "rows")
         if deliveries is not None:
             fresh = first_brought(fresh, "delivery")
         good, rejects = fresh.where("reject_reason IS NULL"), rejected(fresh)
-        dates = stage(new(good, known), "dates")
+        if timed:
+            new = new_datetimes(good, known, warehouse.read("datetime_last"))
+        else:
+            new = new_dates(good, known)
+        dates = stage(new, "dates")
         days = dates.count()
         kept_before = name is not None and warehouse.committed(name)
         keep = not kept_before and not rejects.isEmpty()

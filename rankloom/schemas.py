@@ -51,6 +51,8 @@ DATE_DIM = _struct(date_id=_long, date=_date, day_of_week=_text, month=_int, yea
 DATETIME_DIM = _struct(
     date_id=_long, date=_stamp, hour=_int, day_of_week=_text, month=_int, year=_int
 )
+# The highest key that a load gave.
+DATETIME_LAST = _struct(date_id=_long)
 RANKINGS = _struct(
     player_id=_long,
     country_id=_long,
@@ -92,14 +94,17 @@ MART_PARTS = _struct(facts_key=_long, refresh_key=_long, kind=_text)
 # Columns that tables are partitioned by, besides the contract: the load that wrote a row
 # and, of dimensions, a bucket of the key, so that a load reads those it touches.
 LOAD, BUCKET, BUCKETS = "load_key", "bucket", 32
-_BY_LOAD, _BY_BUCKET = (LOAD,), (LOAD, BUCKET)
+# The calendar with a time of day has no bound; a load reads the months it touches.
+MONTH = "month_key"
+_BY_LOAD, _BY_BUCKET, _BY_MONTH = (LOAD,), (LOAD, BUCKET), (LOAD, MONTH)
 
 # Tables a warehouse holds, each with its partition columns.
 TABLES = {
     "player_dim": (PLAYER_DIM, _BY_BUCKET),
     "country_dim": (COUNTRY_DIM, _BY_BUCKET),
     "date_dim": (DATE_DIM, _BY_LOAD),
-    "datetime_dim": (DATETIME_DIM, _BY_LOAD),
+    "datetime_dim": (DATETIME_DIM, _BY_MONTH),
+    "datetime_last": (DATETIME_LAST, _BY_LOAD),
     "rankings": (RANKINGS, _BY_LOAD),
     "analytics": (ANALYTICS, ()),
     "analytics_rows": (ANALYTICS, ("refresh_key", "facts_key")),

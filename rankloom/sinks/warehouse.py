@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankloom.schemas import BUCKET, BUCKETS, LOAD, TABLES
+from rankloom.functions.dates import month_key
+from rankloom.schemas import BUCKET, BUCKETS, LOAD, MONTH, TABLES
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -86,6 +87,16 @@ class Warehouse:
         """The committed rows of the table, empty if it does not exist yet."""
         return self.stored(table).select(*TABLES[table][0].names)
 
+    def read_months(self, table: str, days: DataFrame) -> DataFrame:
+        """`read` of a table parted by month, in the months of the only column of `days`.
+
+        At most some 7,000 months come to the driver, and name the partitions to read.
+        """
+        day = F.col(days.columns[0])
+        months = days.where(day.isNotNull()).select(month_key(day).alias("m")).distinct()
+        rows = self.stored(table).where(F.col(MONTH).isin([r.m for r in months.collect()]))
+        return rows.select(*TABLES[table][0].names)
+
     @staticmethod
     def new_load() -> int:
         """A number for the partitions of one load, that no other load has."""
@@ -110,7 +121,8 @@ class Warehouse:
         shape = T.StructType([*schema, *[T.StructField(p, T.LongType()) for p in by_row]])
         rows = conform(df, shape)
         if by_row:
-            rows = rows.repartition(*by_row)
+            # One file a partition, but for hot ones, which AQE splits by their size.
+            rows = rows.hint("rebalance", *[F.col(p) for p in by_row])
         self.spark.sql(
             f"INSERT {how} {self.name(table)}{into} SELECT * FROM {{rows}}", rows=rows
         )
@@ -148,6 +160,10 @@ class Warehouse:
         df = conform(df, TABLES[table][0])
         if BUCKET in TABLES[table][1]:
             df = df.withColumn(BUCKET, _bucket(table))
+        if MONTH in TABLES[table][1]:
+            df = df.withColumn(MONTH, month_key(F.col("date")))
+            last = df.agg(F.max("date_id").alias("date_id"))
+            self._insert("datetime_last", last, {LOAD: load}, "INTO")
         self._insert(table, df, {LOAD: load}, "INTO")
 
     def write_refresh(self, rows: DataFrame, parts: DataFrame, refresh: int) -> None:
@@ -234,6 +250,8 @@ class Warehouse:
                 self._drop_tables([*self._versions(table), f"{table}_rows", "mart_parts"])
             else:
                 self._drop_tables([table])
+                if table == "datetime_dim":
+                    self._drop_tables(["datetime_last"])
         if not any(LOAD in p and self.exists(t) for t, (_, p) in TABLES.items()):
             self._drop_tables(["commits"])
 

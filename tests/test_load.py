@@ -34,6 +34,33 @@ def test_tables_that_do_not_exist_read_as_empty(warehouse):
     assert sizes(warehouse) == dict.fromkeys(STAR, 0)
 
 
+def test_a_timed_load_reads_the_months_it_touches(spark, warehouse, feed_of):
+    def load(*stamps):
+        rows = feed_of(*[{"id": i, "lastUpdatedOn": s} for i, s in enumerate(stamps)])
+        return plans.load_rows(warehouse, rows, timed=True)
+
+    first = [f"2024-{m:02d}-03 0{h}:00:00" for m in range(1, 10) for h in range(3)]
+    assert load(*first, "no date") == 27
+    second = ["2024-03-03 01:00:00", "2024-03-03 07:00:00", "1999-12-31 23:59:59"] * 2
+    assert load(*second) == 2
+    assert load(*first, *second) == 0
+    calendar = warehouse.read("datetime_dim").orderBy("date_id").collect()
+    assert [r.date_id for r in calendar] == list(range(1, 30))
+    expected = [*sorted(first), "1999-12-31 23:59:59", "2024-03-03 07:00:00"]
+    assert [str(r.date) for r in calendar] == expected
+    facts = Counter(r.date_id for r in warehouse.read("rankings").collect())
+    assert facts == Counter([*range(1, 28), 28, 28, 29, 29])
+
+    days = spark.createDataFrame([(calendar[6].date,), (None,)], "d timestamp_ntz")
+    march = warehouse.read_months("datetime_dim", days)
+    assert march.count() == 4
+    plan = march._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*month_key", plan)
+    assert warehouse.read_months("datetime_dim", days.limit(0)).isEmpty()
+    warehouse.drop(["datetime_dim"])
+    assert load(*second) == 3
+
+
 def test_two_days_then_the_second_again(spark, warehouse):
     assert plans.load_lines(warehouse, lines_of(spark, FIRST_DAY)) == 1
     assert plans.load_lines(warehouse, lines_of(spark, SECOND_DAY)) == 1
