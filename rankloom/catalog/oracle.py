@@ -140,6 +140,7 @@ SELECT * FROM feed
 UNION ALL
 SELECT * REPLACE (CAST(CAST("lastUpdatedOn" AS DATE) + 1 AS VARCHAR) AS "lastUpdatedOn")
 FROM feed""",
+    "payload_large": _ON_FEED + "SELECT * FROM feed",
     "payload_rejects": _ON_FEED
     + """
 SELECT CASE trend WHEN 'Up' THEN 'broken document' ELSE 'not a number' END AS reject_reason,

@@ -1,5 +1,6 @@
 """Scans: text lines, CSV files, payload documents, status messages, tables."""
 
+from rankloom.sources.large_payload import decode_large_payload
 from rankloom.sources.lines import accepted, decode_csv, decode_lines, read_feed_csv, read_lines
 from rankloom.sources.lines import rejected
 from rankloom.sources.lines import without_headers
@@ -10,6 +11,7 @@ from rankloom.sources.status import rejected_status
 __all__ = [
     "accepted",
     "decode_csv",
+    "decode_large_payload",
     "decode_lines",
     "decode_payload",
     "decode_status",

@@ -16,7 +16,8 @@ from rankloom.sources.lines import accepted
 def read_payload(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
     """Documents from files, as text in `value`: one per file, or one per line.
 
-    A document is one row of one task: for bulk data, write one per line.
+    A document is one row of one task: for bulk data, write one per line. Files with a
+    large document each are cut by `decode_large_payload`.
     """
     return spark.read.text(path, wholetext=one_per_file)
 
@@ -60,8 +61,13 @@ def decode_payload(texts: DataFrame, column: str = "value") -> DataFrame:
     A document is parsed once, and a record's values are taken as text and typed
     afterwards, so that a wrong one spoils its record alone.
     """
+    return decode_records(_records(texts, column))
+
+
+def decode_records(rows: DataFrame) -> DataFrame:
+    """`decode_payload` of parsed records, or texts with their `fault`."""
     words = {name: F.try_variant_get("record", f"$.{name}", "string") for name in FEED.names}
-    cells = _records(texts, column).select(
+    cells = rows.select(
         "record", "text", "fault", parse_once(F.struct(*[w.alias(n) for n, w in words.items()]))
     )
     typed = typed_once(cells, "record", "text", "fault")

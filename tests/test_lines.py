@@ -11,12 +11,14 @@ import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from samples import HEADER, SECOND_DAY
 
 from rankloom import sinks, sources
 from rankloom.functions import first_name, last_name
 from rankloom.operators import json_records
 from rankloom.schemas import FEED, NA_WORDS
+from rankloom.sources import large_payload
 
 
 @pytest.fixture
@@ -181,6 +183,55 @@ def test_payload_of_many_lines(spark, tmp_path):
     assert sources.flatten_payload(documents).count() == 5
 
 
+def test_a_large_payload_is_cut_as_if_read_whole(spark, tmp_path, monkeypatch):
+    """Small splits; braces, brackets and quotes in texts, nested values, and files of other shapes."""
+    rng = random.Random(11)
+    bits = ["}", "{", "[", "]", '"', "\\", ",", '\\"', "é", "\n", "a b", "},{"]
+
+    def record(i):
+        name = "".join(rng.choices(bits, k=rng.randint(0, 7)))
+        extra = [{}, {"more": {"x": [1, {"y": "}"}]}}, {"rating": "high"}][rng.choice([0, 0, 1, 2])]
+        return {**RECORD, "id": i, "name": name, **extra}
+
+    usual = [record(i) for i in range(60)]
+    shapes = {
+        "plain": json.dumps({"rank": usual}),
+        "spread": json.dumps({"rank": usual[:20]}, indent=2) + "\n",
+        "one": json.dumps({"rank": usual[:1]}),
+        "none": json.dumps({"rank": []}),
+        "empty": "",
+        "other": json.dumps({"other": usual[:3], "rank": usual[3:5]}),
+        "after": json.dumps({"rank": usual[:3], "other": usual[3:5]}),
+        "mixed": json.dumps({"rank": [usual[0], 3, "}", None, usual[1]]}),
+        "cut": json.dumps({"rank": usual[:9]})[:-40],
+        "unparted": json.dumps({"rank": usual[:4]}).replace('}, {"id"', '} {"id"'),
+        "twice": json.dumps({"rank": usual[:2]}) * 2,
+        "repeated": '{"rank": [{"id": 1, "id": 2}]}',
+    }
+    for name, text in shapes.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    expected = sources.decode_payload(sources.read_payload(spark, str(tmp_path)))
+    whole = []
+
+    def decode_whole(texts):
+        whole.extend(r.f for r in texts.select(F.col("_metadata.file_name").alias("f")).collect())
+        return sources.decode_payload(texts)
+
+    monkeypatch.setattr(large_payload, "decode_payload", decode_whole)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "900")
+    try:
+        got = sources.decode_large_payload(spark, str(tmp_path)).collect()
+        assert spark.read.text(str(tmp_path / "plain.json")).rdd.getNumPartitions() > 5
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert sorted(map(repr, got)) == sorted(map(repr, expected.collect()))
+    assert len(got) > 90
+    # A file without bytes is no document for any reader.
+    cut = {f"{name}.json" for name in shapes} - set(whole) - {"empty.json"}
+    assert cut == {"plain.json", "spread.json", "one.json"}
+
+
 def test_json_records(spark):
     lines = [HEADER, GOOD, "1,2,Ann", '1,"a,b"', GOOD + "1.0,surplus"]
     frame = spark.createDataFrame([(line,) for line in lines], "value string")
