@@ -78,6 +78,20 @@ def test_shares_of_lines_need_lines(docs_of):
     assert failed == {1: False, 2: False, 3: True}
 
 
+def test_shares_of_lines_are_judged_in_every_text(docs_of):
+    """However few its lines are."""
+    sentence = "the cat sat on the mat and looked at {} birds in a row of trees that the wind had bent"
+    texts = {
+        "repeated_lines": [sentence.format(1), "the end", "the end"],
+        "bullet_lines": ["- " + sentence.format(i) for i in range(3)],
+        "ellipsis_lines": [sentence.format(1), sentence.format(2) + "..."],
+    }
+    docs = docs_of(*[(i, "\n".join(lines)) for i, lines in enumerate(texts.values())])
+    rows = sorted(quality_rules.apply_rules(docs).collect(), key=lambda r: r.doc_id)
+    assert [r.failed_rules for r in rows] == [[name] for name in texts]
+    assert not any(r.kept for r in rows)
+
+
 def test_quality_keeps_rows_as_they_came(docs_of):
     good = TEXTS[6]
     docs = docs_of((1, good), (2, "| " + " | ".join(good.split())), (3, None), (1, good))
