@@ -1,11 +1,10 @@
 """Records of CSV files whose quoted fields hold line breaks, cut in parallel.
 
 A line break parts records if the quotes before it in its file are even in number. Only
-lines with an odd number of quotes change that, so they alone are counted, by split, and
-the counts of the splits before are added up, one row a split. Splits without such a line, and not
-inside a field at their start, keep their lines as they are; in others each line gets the
-number of odd lines before it, and the lines of one record are joined. No file is read
-whole by one task, as the reader's own `multiLine` does.
+lines with an odd number of quotes change that: each line gets the number of odd ones before it
+in its split as it is read, and the splits before are added up, one row a split. Lines of
+one record are joined where they are read. No file is read whole by one task, as the
+reader's own `multiLine` does, and no line is sorted.
 """
 
 from __future__ import annotations
@@ -15,10 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rankloom.functions.text import count_of
+from rankloom.sources.runs import SPLIT, joined_rows, scan, sum_of_splits_before, with_sums_before
 from rankloom.staging import stage
 
-_SPLIT = ["file", "split"]
-
 
 def _odd(line: Column) -> Column:
     return count_of(line, '"') % 2 == 1
@@ -29,22 +27,6 @@ def has_odd_lines(spark: SparkSession, path: str) -> bool:
     return not spark.read.text(path).where(_odd(F.col("value"))).isEmpty()
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with their file, the offset of their split, and their order inside it; written."""
-    # Only this break parts lines, so that any other in a field is kept as it is.
-    lines = spark.read.option("lineSep", "\n").text(path)
-    return stage(
-        lines.select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("split"),
-            F.monotonically_increasing_id().alias("place"),
-            "value",
-            _odd(F.col("value")).alias("odd"),
-        ),
-        "csv-lines",
-    )
-
-
 def csv_records(spark: SparkSession, path: str) -> DataFrame:
     """One row per record, in `value`, with `is_header` and `is_open`.
 
@@ -53,39 +35,39 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     after it. Line breaks inside fields stay as they are; a carriage return at a
     record's end goes.
     """
-    lines = _lines(spark, path)
-    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    splits = lines.groupBy(*_SPLIT).agg(
-        F.count_if("odd").alias("_odd"), F.min("place").alias("_first")
-    )
+    # Only this break parts lines, so that any other in a field is kept as it is.
+    lines = scan(spark, path, "\n").withColumn("odd", _odd(F.col("value")).cast("int"))
+    lines = stage(with_sums_before(lines, "odd"), "csv-lines")
+    of_file = Window.partitionBy("file")
+    splits = lines.groupBy(*SPLIT).agg(F.sum("odd").alias("_odd"), F.min("place").alias("_first"))
     splits = splits.select(
-        *_SPLIT,
-        "_odd",
+        *SPLIT,
         "_first",
-        F.coalesce(F.sum("_odd").over(before), F.lit(0)).alias("_before"),
-        F.sum("_odd").over(Window.partitionBy("file")).alias("_all"),
-        F.min("split").over(Window.partitionBy("file")).alias("_start"),
+        sum_of_splits_before(F.col("_odd")).alias("_before"),
+        F.sum("_odd").over(of_file).alias("_all"),
+        F.min("split").over(of_file).alias("_start"),
     )
-    splits = stage(splits, "csv-splits")
     first = (F.col("split") == F.col("_start")) & (F.col("place") == F.col("_first"))
-    lines = lines.join(splits, _SPLIT).withColumn("is_header", first)
-    whole = (F.col("_odd") == 0) & ((F.col("_before") % 2 == 0) | (F.col("_before") == F.col("_all")))
-    plain = lines.where(whole).select("value", "is_header", F.lit(False).alias("is_open"))
-
-    upto = Window.partitionBy(*_SPLIT).orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    passed = F.col("_before") + F.coalesce(F.count_if("odd").over(upto), F.lit(0))
-    counted = lines.where(~whole).withColumn("_passed", passed)
+    lines = lines.join(stage(splits, "csv-splits"), SPLIT).select(
+        *SPLIT,
+        "place",
+        "value",
+        (F.col("odd") == 1).alias("odd"),
+        "_all",
+        first.alias("leads"),
+        (F.col("_before") + F.col("odd_before")).alias("_passed"),
+    )
     # An odd line without a partner: the last of a file that has an odd number of them.
     lone = (F.col("_all") % 2 == 1) & (F.col("_passed") >= F.col("_all") - 1)
-    inside = ((F.col("_passed") % 2 == 1) | F.col("odd")) & ~lone
-    single = counted.where(~inside).select(
-        "value", "is_header", (F.col("odd") & lone).alias("is_open")
+    within = F.col("_passed") % 2 == 1
+    inside = (within | F.col("odd")) & ~lone
+    single = lines.where(~inside).select(
+        "value", F.col("leads").alias("is_header"), (F.col("odd") & lone).alias("is_open")
+    )
+    several = lines.where(inside).withColumns(
+        {"starts": F.col("odd") & ~within, "ends": F.col("odd") & within}
+    )
+    joined = joined_rows(several, "\n").select(
+        "value", F.col("leads").alias("is_header"), F.lit(False).alias("is_open")
     )
-    pieces = F.sort_array(F.collect_list(F.struct("split", "place", "value")))
-    joined = counted.where(inside).groupBy("file", F.expr("_passed div 2").alias("_record"))
-    joined = joined.agg(
-        F.array_join(F.transform(pieces, lambda p: p["value"]), "\n").alias("value"),
-        F.bool_or("is_header").alias("is_header"),
-    ).select("value", "is_header", F.lit(False).alias("is_open"))
-    records = plain.unionByName(single).unionByName(joined)
-    return records.withColumn("value", F.regexp_replace("value", "\r$", ""))
+    return single.unionByName(joined).withColumn("value", F.regexp_replace("value", "\r$", ""))

@@ -14,11 +14,11 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from samples import HEADER, SECOND_DAY
 
-from rankloom import sinks, sources
+from rankloom import sinks, sources, staging
 from rankloom.functions import first_name, last_name
 from rankloom.operators import json_records
 from rankloom.schemas import FEED, NA_WORDS
-from rankloom.sources import large_payload
+from rankloom.sources import large_payload, records, runs
 
 
 @pytest.fixture
@@ -298,3 +298,64 @@ def test_files_with_line_breaks_and_other_headers_are_refused(spark, tmp_path):
     (tmp_path / "b.csv").write_text("name,id\nA,1\n")
     with pytest.raises(ValueError, match="headers"):
         sources.decode_csv(spark, str(tmp_path))
+
+
+@pytest.fixture
+def staged(spark, monkeypatch):
+    """What the readers stage, by label, with small splits and batches."""
+    frames = {}
+
+    def stage(df, label):
+        frames[label] = staging.stage(df, label)
+        return frames[label]
+
+    for module in (runs, records, large_payload):
+        monkeypatch.setattr(module, "stage", stage)
+    small = {
+        "spark.sql.files.maxPartitionBytes": "20000",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "50",
+    }
+    before = {key: spark.conf.get(key) for key in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    yield frames
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def _few_parts(frames):
+    """Whether records are joined where they are read, but for those that a batch or a split cuts."""
+    found = frames["runs"]
+    parts, whole = (found.where(f"{word} (starts AND ends)").count() for word in ("NOT", ""))
+    return 0 < parts < whole / 5
+
+
+def test_lines_of_a_record_are_joined_where_they_are_read(spark, tmp_path, staged):
+    rows = [(i, f"A {i}\nB\nC" if i % 3 else "D") for i in range(3000)]
+    with (tmp_path / "a.csv").open("w", newline="") as file:
+        writer = csv.writer(file, lineterminator="\n")
+        writer.writerow(FEED.names)
+        writer.writerows([i, 1, name, "C", 5, 6, "2024-12-26", "Up", "7", 3, 1.5] for i, name in rows)
+    decoded = sources.decode_csv(spark, str(tmp_path)).collect()
+    assert sorted((r.id, r.name) for r in decoded) == rows
+    assert _few_parts(staged)
+
+
+def test_pieces_of_a_payload_are_joined_where_they_are_read(spark, tmp_path, staged):
+    names = [f'{i} }}, {{ ] "' if i % 3 else f"{i}" for i in range(3000)]
+    rank = [{**RECORD, "id": i, "name": name, "more": {"x": [i]}} for i, name in enumerate(names)]
+    (tmp_path / "a.json").write_text(json.dumps({"rank": rank}))
+    decoded = sources.decode_large_payload(spark, str(tmp_path)).collect()
+    assert sorted((r.id, r.name) for r in decoded) == list(enumerate(names))
+    assert _few_parts(staged)
+
+
+def test_payloads_of_tasks_are_documents(spark, tmp_path):
+    """A task without rows has none."""
+    rows = spark.range(0, 9, 1, 3).where("id < 6 AND id <> 4").repartition(4, "id")
+    records = rows.selectExpr("to_json(struct(id)) AS value")
+    sinks.write_large_payload(records, str(tmp_path / "out"))
+    texts = [f.read_text() for f in (tmp_path / "out").glob("part-*")]
+    documents = [json.loads(text) for text in texts if text]
+    assert sorted(r["id"] for d in documents for r in d["rank"]) == [0, 1, 2, 3, 5]
+    assert all(list(d) == ["rank"] and d["rank"] for d in documents)
