@@ -141,21 +141,9 @@ def payload_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def payload_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files with one document each, of the records of one task; cut by splits when read."""
-    rows = feed(spark, sf_dir).select(
-        F.spark_partition_id().alias("part"),
-        F.monotonically_increasing_id().alias("n"),
-        F.to_json(F.struct(*FEED.names)).alias("record"),
-    )
-    rows = stage(rows, "records")
-    ends = rows.groupBy("part").agg(F.min("n").alias("first"), F.max("n").alias("last"))
-    first, last = F.col("n") == F.col("first"), F.col("n") == F.col("last")
-    line = F.concat(
-        F.when(first, '{"rank": [').otherwise(", "), "record", F.when(last, "]}").otherwise("")
-    )
-    lines = rows.join(ends, "part").select("part", "n", line.alias("value"))
     path = f"{fresh_folder(spark, 'payload')}/documents"
-    lines = lines.repartition("part").sortWithinPartitions("part", "n").drop("n")
-    lines.write.partitionBy("part").text(path)
+    records = feed(spark, sf_dir).select(F.to_json(F.struct(*FEED.names)).alias("value"))
+    sinks.write_large_payload(records, path)
     return sources.accepted(sources.decode_large_payload(spark, path))
 
 

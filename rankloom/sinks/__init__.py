@@ -1,6 +1,6 @@
 """Table and file sinks, and SQL files."""
 
-from rankloom.sinks.files import write_feed_csv, write_json_records, write_lines
+from rankloom.sinks.files import write_feed_csv, write_json_records, write_large_payload, write_lines
 from rankloom.sinks.sqltext import run_sql, run_sql_file
 from rankloom.sinks.warehouse import Warehouse, conform
 
@@ -11,5 +11,6 @@ __all__ = [
     "run_sql_file",
     "write_feed_csv",
     "write_json_records",
+    "write_large_payload",
     "write_lines",
 ]

@@ -2,8 +2,10 @@
 
 Files are read in pieces that end with a closing brace, by splits. Quotes before a piece
 say whether it begins inside a string, and brackets outside strings how deep it begins;
-both are counted by split, and the counts of the splits before are added up, one row a
-split. An object of the list `rank` ends where the depth is back at that of the list.
+both are summed up along a split as it is read, the depth for a split that begins outside
+a string and for one that begins inside, and the splits before are added up, one row a
+split. An object of the list `rank` ends where the depth is back at that of the list; its
+pieces are joined where they are read, and none is sorted.
 
 Only files of the ordinary shape are cut: one object, whose one key is `rank`, with a list
 of nothing but objects, every one of which parses. Any other file is read whole, so
@@ -14,13 +16,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from rankloom.functions.text import count_of, parse_once
 from rankloom.sources.payload import decode_payload, decode_records, read_payload
+from rankloom.sources.runs import SPLIT, joined_rows, scan, sum_of_splits_before, with_sums_before
 from rankloom.staging import stage
 
-_SPLIT = ["file", "split"]
 _HEAD = r'^\s*\{\s*"rank"\s*:\s*\[\s*'
 _NEXT = r"^\s*,\s*"
 _TAIL = r"^\s*\]\s*$"
@@ -28,20 +29,6 @@ _TAIL = r"^\s*\]\s*$"
 _LIST = 2
 
 
-def _with_sum_before(rows: DataFrame, column: str) -> DataFrame:
-    """`rows` with the sum of a column over the pieces before in their file."""
-    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    sums = rows.groupBy(*_SPLIT).agg(F.sum(column).alias("_sum"))
-    offset = F.coalesce(F.sum("_sum").over(earlier), F.lit(0))
-    sums = stage(sums.select(*_SPLIT, offset.alias("_offset")), "payload-splits")
-    upto = Window.partitionBy(*_SPLIT).orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    inside = F.coalesce(F.sum(column).over(upto), F.lit(0))
-    summed = rows.withColumn("_inside", inside).join(sums, _SPLIT)
-    return summed.withColumn(f"{column}_before", F.col("_offset") + F.col("_inside")).drop(
-        "_offset", "_inside"
-    )
-
-
 def _depth_change(in_string: Column, ends_in_string: Column) -> Column:
     """Brackets that a piece opens less those it closes, its closing brace included."""
     text = F.regexp_replace(F.col("value"), r"\\.", "")
@@ -52,34 +39,31 @@ def _depth_change(in_string: Column, ends_in_string: Column) -> Column:
 
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    """Pieces with the depth they begin at, whether a record ends with them, and how many did before."""
+    """Pieces with the depth they begin at, and whether a record ends with them."""
     quotes = count_of(F.regexp_replace("value", r"\\.", ""), '"')
-    pieces = stage(
-        spark.read.option("lineSep", "}").text(path).select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("split"),
-            F.monotonically_increasing_id().alias("place"),
-            "value",
-            (quotes % 2).alias("odd"),
-        ),
-        "payload-pieces",
-    )
-    quoted = _with_sum_before(pieces, "odd")
+    pieces = with_sums_before(scan(spark, path, "}").withColumn("odd", quotes % 2), "odd")
+    # As if the split began outside a string; else all of it is the other way round.
     in_string = F.col("odd_before") % 2 == 1
     ends_in_string = (F.col("odd_before") + F.col("odd")) % 2 == 1
-    depths = quoted.select(
-        *_SPLIT,
-        "place",
-        "value",
-        ends_in_string.alias("open"),
-        _depth_change(in_string, ends_in_string).alias("depth"),
+    pieces = pieces.withColumns(
+        {
+            "outer": _depth_change(in_string, ends_in_string),
+            "inner": _depth_change(~in_string, ~ends_in_string),
+        }
     )
-    deep = _with_sum_before(stage(depths, "payload-depths"), "depth")
-    ends = ~F.col("open") & (F.col("depth_before") + F.col("depth") == _LIST)
-    counted = deep.select(
-        *_SPLIT, "place", "value", F.col("depth_before").alias("at"), ends.cast("int").alias("ends")
+    pieces = stage(with_sums_before(pieces, "outer", "inner"), "payload-pieces")
+
+    sums = pieces.groupBy(*SPLIT).agg(*[F.sum(c).alias(c) for c in ("odd", "outer", "inner")])
+    sums = sums.withColumn("_inside", sum_of_splits_before(F.col("odd")) % 2 == 1)
+    inside = F.col("_inside")
+    change = F.when(inside, F.col("inner")).otherwise(F.col("outer"))
+    splits = sums.withColumn("_change", change).select(
+        *SPLIT, "_inside", sum_of_splits_before(F.col("_change")).alias("_depth")
     )
-    return stage(_with_sum_before(stage(counted, "payload-ends"), "ends"), "payload-records")
+    at = F.col("_depth") + F.when(inside, F.col("inner_before")).otherwise(F.col("outer_before"))
+    ends = (ends_in_string == inside) & (F.col("at") + change == _LIST)
+    placed = pieces.join(stage(splits, "payload-splits"), SPLIT).withColumn("at", at)
+    return placed.select(*SPLIT, "place", "value", "at", ends.alias("ends"))
 
 
 def decode_large_payload(spark: SparkSession, path: str) -> DataFrame:
@@ -95,20 +79,18 @@ def decode_large_payload(spark: SparkSession, path: str) -> DataFrame:
         (F.bool_and(usual) & (F.count_if(head) == 1) & (F.count_if(tail) == 1)).alias("usual")
     )
 
+    shapes = stage(shapes.where("usual"), "payload-shapes")
+
     inside = pieces.where((at > _LIST) | ((at == _LIST) & ~tail) | head)
-    starts = head | (at == _LIST)
-    alone = starts & (F.col("ends") == 1)
-    single = inside.where(alone).select("file", value.alias("text"))
-    parts = F.sort_array(F.collect_list(F.struct("split", "place", "value")))
-    joined = inside.where(~alone).groupBy("file", "ends_before")
-    joined = joined.agg(F.array_join(F.transform(parts, lambda p: p["value"]), "}").alias("text"))
-    texts = single.unionByName(joined.select("file", "text"))
+    inside = inside.join(shapes, "file", "left_semi")
+    parts = inside.withColumns({"leads": head, "starts": head | (at == _LIST)})
+    texts = joined_rows(parts, "}").select("file", F.col("value").alias("text"))
     bare = F.regexp_replace(F.regexp_replace("text", _HEAD, ""), _NEXT, "")
     records = texts.select("file", parse_once(F.struct(F.try_parse_json(F.concat(bare, F.lit("}"))).alias("record"))))
     records = stage(records, "payload-parsed")
 
     broken = records.where("record IS NULL").select("file").distinct()
-    good = shapes.where("usual").join(broken, "file", "left_anti")
+    good = shapes.join(broken, "file", "left_anti")
     # Names of files, which the driver has listed for the scan anyway.
     cut = [r.file for r in good.select("file").collect()]
     nothing = F.lit(None).cast("string")
